@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The pipeline this library re-expresses is batch only: it reads a finished
+review log, fits a model and writes results. There is no stream source,
+watermark, window or state anywhere in it, so no streaming operator is
+provided here.
+"""

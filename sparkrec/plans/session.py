@@ -85,8 +85,12 @@ class Workspace:
         return f"{self.path}/{name}"
 
     def materialize(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-        """Write ``df`` as Parquet and return it read back (lineage cut)."""
-        path = self.location(name)
+        """Write ``df`` as Parquet and return it read back (lineage cut).
+
+        Every call gets a fresh path, so a stage is never overwritten while a
+        lazy DataFrame built on an earlier one may still read it.
+        """
+        path = self.location(f"{name}-{uuid.uuid4().hex[:8]}")
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)

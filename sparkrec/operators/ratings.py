@@ -77,12 +77,19 @@ def derive_ratings(
     """Interactions -> ratings 1-4; rows whose rule gives no rating are dropped.
 
     Rows with a null user key are dropped too (they cannot be factorized).
-    With a ``workspace`` the per-item averages are materialized there first,
-    which fixes the size check of the join on exact numbers.
+
+    With a ``workspace`` the input is needed twice (averages, then the rows
+    they are joined onto), so its four columns are written there once: an
+    expensive source (a join, a CSV parse) runs a single time, and both
+    passes become narrow Parquet scans (two and four columns). The per-item
+    averages are materialized and counted as well, which fixes the size
+    check of the join on exact numbers.
     """
     pruned = interactions.select(user, item, is_recommended, hours)
-    averages = item_average(pruned, item, hours)
     rows = None
+    if workspace is not None:
+        pruned = workspace.materialize(pruned, "interactions")
+    averages = item_average(pruned, item, hours)
     if workspace is not None:
         averages = workspace.materialize(averages, "item_average")
         rows = averages.count()

@@ -53,9 +53,13 @@ def main() -> None:
         info["ratings"] = ratings.count()
         data = timed("split", lambda: ws.materialize(assign_split(ratings), "split", partition_by=["split"]))
         train, validation, test = split_frames(data)
+        # One key-load check decides the solver for every fit of the run.
+        resolved = timed("solver_check", lambda: als.resolve_solver(ratings, cfg))
+        info["solver"] = resolved.solver
+        fit_cfg = resolved
 
         def evaluate():
-            model = als.fit(train, cfg)
+            model = als.fit(train, fit_cfg, ws)
             return {r["split"]: round(r["rmse"], 6) for r in rmse_by_split(model, data).collect()}
 
         info["rmse"] = timed("evaluate", evaluate)
@@ -65,7 +69,7 @@ def main() -> None:
         state = {}
 
         def recommend_all():
-            state["model"] = als.fit(ratings, cfg)
+            state["model"] = als.fit(ratings, fit_cfg, ws)
             out = recommend(state["model"], ratings, titles, 10, titles_rows=n_titles)
             return ws.materialize(out, "recommendations").count()
 
@@ -78,7 +82,7 @@ def main() -> None:
         def tune():
             trials = run_grid(
                 spark, train, validation, grid([4], [0.1, 0.2, 0.3], [15, 30]),
-                lambda df, t: als.fit(df, cfg.with_params(rank=t.rank, reg=t.reg, iterations=t.iterations)), test,
+                lambda df, t: als.fit(df, fit_cfg.with_params(rank=t.rank, reg=t.reg, iterations=t.iterations), ws), test,
                 parallelism=3,
             )
             best = best_trial(trials).first()

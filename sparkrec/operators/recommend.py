@@ -126,3 +126,8 @@ def recommend(
 def candidate_pairs(candidates: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:
     """Distinct (user, item) pairs; de-duplicated map-side before the shuffle."""
     return candidates.select(user, item).dropDuplicates([user, item])
+
+
+def title_list(recommendations: DataFrame, item: str = "item_id", title: str = "title") -> list[tuple[int, str]]:
+    """One user's ranked ``[(item, title)]`` on the driver (at most k rows)."""
+    return [(r[item], r[title]) for r in recommendations.orderBy("rank").select(item, title).collect()]

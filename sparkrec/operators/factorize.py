@@ -4,9 +4,11 @@ Each half-step fixes one side's factors ``y`` and solves, for every key
 ``x`` of the other side, ``(sum y y^T + reg * n_x * I) x = sum r y`` (the
 ALS-WR objective of Spark's ALS):
 
-1. ratings joined with the fixed factors on the fixed key (broadcast only
-   when the factor table's exact row count fits the budget; otherwise a
-   shuffle join, where AQE splits the partitions of a hot key);
+1. ratings joined with the fixed factors on the fixed key: the factors
+   are broadcast when their exact row count fits the budget; otherwise
+   the ratings sit in a persisted layout partitioned by (key, salt), hot
+   keys spread over several salts, and only the factor table is shuffled
+   each half-step (:class:`RatingsLayout`);
 2. ``groupBy(key)`` with plain ``SUM`` aggregates of the packed upper
    triangle of ``y y^T`` and of ``r y``: partial aggregation on the map side,
    so a key holding a third of all ratings still sends one row per task;
@@ -31,7 +33,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrec.plans.joins import bounded_side
+from sparkrec.plans.joins import bounded_side, fits_broadcast
 
 # 53-bit mantissa scale for turning a 64-bit hash into a uniform in (0, 1).
 _MANTISSA = float(1 << 53)
@@ -91,20 +93,61 @@ def _solver(key: str, rank: int, reg: float):
     return solve
 
 
-def half_step(
-    ratings: DataFrame,
-    fixed: DataFrame,
-    fixed_rows: int,
-    solve_key: str,
-    fixed_key: str,
-    rating: str,
-    rank: int,
-    reg: float,
-) -> DataFrame:
-    """New factors of ``solve_key`` given the factors of ``fixed_key``."""
-    side = bounded_side(fixed, fixed_rows, row_bytes=8 * rank + 48)
-    joined = ratings.join(side, fixed_key)
-    ne = normal_equations(joined, solve_key, rating, rank)
+class RatingsLayout:
+    """How the ratings meet the factors of one side (the *fixed* key).
+
+    * Factor table within the broadcast budget (exact row count): the
+      ratings stay as they are and the factors are broadcast.
+    * Otherwise the ratings are persisted once, hash-partitioned by
+      ``(fixed key, salt)``. A key with more than ``cap`` ratings is spread
+      over ``ceil(count / cap)`` salts (a hash of the other key), so no
+      group exceeds ``cap`` rows and no partition holds a hot key whole.
+      Each half-step shuffles only the factor table, with one copy per salt
+      of a hot key, into the same partitioning, and joins it without
+      moving or sorting the ratings (shuffled hash join, factors as the
+      build side). ``cap`` defaults to total ratings / partitions; the
+      table of hot keys then has at most ``partitions`` rows, a proven
+      bound, and is broadcast.
+    """
+
+    def __init__(self, data: DataFrame, key: str, other: str, counts: DataFrame, n_keys: int, rank: int,
+                 partitions: int, cap: int | None, ws):
+        self.key, self.rank = key, rank
+        self.row_bytes = 8 * rank + 48
+        self.broadcast = fits_broadcast(data.sparkSession, n_keys, self.row_bytes)
+        self.partitions = partitions
+        self.persisted = None
+        if self.broadcast:
+            self.ratings = data
+            return
+        total = counts.agg(F.sum("n")).first()[0] or 0
+        cap = cap or max(1, -(-total // partitions))
+        hot = ws.materialize(
+            counts.filter(F.col("n") > F.lit(cap)).select(key, F.ceil(F.col("n") / F.lit(cap)).cast("int").alias("salts")),
+            f"hot_{key}",
+        )
+        self.hot = bounded_side(hot, hot.count(), 16)
+        salt = F.when(F.col("salts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(F.col(other)), F.col("salts")))
+        salted = data.join(self.hot, key, "left").withColumn("salt", salt.cast("int")).drop("salts")
+        self.persisted = salted.repartition(partitions, key, "salt").persist(StorageLevel.MEMORY_AND_DISK)
+        self.ratings = self.persisted
+
+    def join(self, factors: DataFrame) -> DataFrame:
+        if self.broadcast:
+            return self.ratings.join(F.broadcast(factors), self.key)
+        copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - F.lit(1)))
+        fixed = factors.join(self.hot, self.key, "left").withColumn("salt", copies).drop("salts")
+        fixed = fixed.repartition(self.partitions, self.key, "salt").hint("shuffle_hash")
+        return self.ratings.join(fixed, [self.key, "salt"]).drop("salt")
+
+    def release(self) -> None:
+        if self.persisted is not None:
+            self.persisted.unpersist()
+
+
+def half_step(layout: RatingsLayout, fixed: DataFrame, solve_key: str, rating: str, rank: int, reg: float) -> DataFrame:
+    """New factors of ``solve_key`` given the factors of the layout's key."""
+    ne = normal_equations(layout.join(fixed), solve_key, rating, rank)
     schema = f"{solve_key} int, " + ", ".join(f"f{j} double" for j in range(rank))
     return ne.mapInPandas(_solver(solve_key, rank, reg), schema)
 
@@ -117,20 +160,30 @@ def as_feature_table(factors: DataFrame, key: str, rank: int) -> DataFrame:
 
 
 def fit_normal_equations(ratings: DataFrame, cfg, ws) -> tuple[DataFrame, DataFrame, int, int]:
-    """Run ``cfg.iterations`` ALS sweeps; returns feature tables and their row counts."""
+    """Run ``cfg.iterations`` ALS sweeps; returns feature tables and their row counts.
+
+    Each sweep solves items from users, then users from items (as Spark ML
+    does); every half-step's factors are written to the workspace.
+    """
     u, i, r, k = cfg.user, cfg.item, cfg.rating, cfg.rank
-    data = ratings.select(u, i, r).dropna().persist(StorageLevel.MEMORY_AND_DISK)
+    spark = ratings.sparkSession
+    partitions = cfg.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    data = ws.materialize(ratings.select(u, i, r).dropna(), "als_ratings")
+    user_counts = ws.materialize(data.groupBy(u).agg(F.count(F.lit(1)).alias("n")), "als_user_counts")
+    item_counts = ws.materialize(data.groupBy(i).agg(F.count(F.lit(1)).alias("n")), "als_item_counts")
+    n_users, n_items = user_counts.count(), item_counts.count()
+    base = data.persist(StorageLevel.MEMORY_AND_DISK)
+    by_user = RatingsLayout(base, u, i, user_counts, n_users, k, partitions, cfg.salt_cap, ws)
+    by_item = RatingsLayout(base, i, u, item_counts, n_items, k, partitions, cfg.salt_cap, ws)
     try:
-        users = ws.materialize(data.select(u).distinct(), "als_users")
-        items = ws.materialize(data.select(i).distinct(), "als_items")
-        n_users, n_items = users.count(), items.count()
-        x = ws.materialize(initial_factors(users, u, k, cfg.seed), "als_x0")
+        x = ws.materialize(initial_factors(user_counts.select(u), u, k, cfg.seed), "als_x0")
         y = None
-        for it in range(cfg.iterations):
-            y = ws.materialize(half_step(data, x, n_users, i, u, r, k, cfg.reg), f"als_y{it + 1}")
-            x = ws.materialize(half_step(data, y, n_items, u, i, r, k, cfg.reg), f"als_x{it + 1}")
-        if y is None:
-            y = ws.materialize(half_step(data, x, n_users, i, u, r, k, cfg.reg), "als_y1")
+        for it in range(max(cfg.iterations, 1)):
+            y = ws.materialize(half_step(by_user, x, i, r, k, cfg.reg), f"als_y{it + 1}")
+            if it < cfg.iterations:
+                x = ws.materialize(half_step(by_item, y, u, r, k, cfg.reg), f"als_x{it + 1}")
     finally:
-        data.unpersist()
+        by_user.release()
+        by_item.release()
+        base.unpersist()
     return as_feature_table(x, u, k), as_feature_table(y, i, k), n_users, n_items

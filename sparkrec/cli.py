@@ -59,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--iterations", type=int, default=30)
     p.add_argument("--reg", type=float, default=0.3)
     p.add_argument("--seed", type=int, default=37)
-    p.add_argument("--blocks", type=int, default=10, help="ALS user and item blocks (mllib solver)")
+    p.add_argument("--blocks", type=int, default=None, help="ALS user and item blocks (default: parallelism)")
     p.add_argument("--solver", default="auto", choices=["auto", "mllib", "normal_equations"])
     p.add_argument("--weights", type=float, nargs=3, default=[6, 2, 2], help="train / validation / test")
     p.add_argument("--split-seed", type=int, default=37)

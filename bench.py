@@ -83,7 +83,7 @@ def main() -> None:
             trials = run_grid(
                 spark, train, validation, grid([4], [0.1, 0.2, 0.3], [15, 30]),
                 lambda df, t: als.fit(df, fit_cfg.with_params(rank=t.rank, reg=t.reg, iterations=t.iterations), ws), test,
-                parallelism=3,
+                parallelism=6,
             )
             best = best_trial(trials).first()
             return {"reg": best["reg"], "iterations": best["iterations"], "validation_rmse": round(best["validation_rmse"], 6)}

@@ -14,7 +14,9 @@ ALS-WR objective of Spark's ALS):
    so a key holding a third of all ratings still sends one row per task;
 3. a batched ``numpy`` solve of the small ``k x k`` systems in
    ``mapInPandas`` (rows are independent; Arrow batches);
-4. the new factors written to the workspace (lineage cut every half-step).
+4. the new factors written to the workspace (lineage cut every half-step;
+   caching instead would nest each step's adaptive plan in the next one's,
+   and plan size doubles per step).
 
 No step gathers a key's ratings into one task, unlike MLlib's blocked ALS
 whose in-block for a hot item holds all of that item's ratings.

@@ -17,6 +17,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkrec.plans.joins import bounded_side
+
+# Hashed-relation bytes per (o_orderkey, o_custkey) row for the size check.
+ORDER_ROW_BYTES = 48
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -25,13 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Interactions from ``lineitem`` and ``orders``; only five columns are scanned.
 
-    A fact-to-fact equi-join: it is left to the planner (shuffle join, turned
-    into a broadcast join by AQE only when the measured orders side is small;
-    a hot order key is split by AQE's skew handling).
+    The orders side is broadcast only if its exact row count (read from the
+    Parquet footers, no scan) fits the broadcast budget; otherwise this is a
+    shuffle join, where AQE splits the partitions of a hot order key.
     """
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = lines.join(_orders_side(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
         F.col("o_custkey").cast("int").alias("user_id"),
         F.col("l_partkey").cast("int").alias("item_id"),
@@ -40,6 +44,11 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _orders_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    return bounded_side(orders.select("o_orderkey", "o_custkey"), orders.count(), ORDER_ROW_BYTES)
+
+
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("int").alias("item_id"), F.col("p_name").alias("title")
@@ -51,8 +60,7 @@ def interactions_csv_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate"
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = lines.join(_orders_side(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
         F.col("l_partkey").cast("int").alias("app_id"),
         F.lit(None).cast("int").alias("helpful"),

@@ -110,3 +110,4 @@ ORACLE: dict[str, str] = {
     + ", ".join(f"('{n}', true)" for n in PROPERTY_NAMES)
     + ") AS t(property, holds)",
 }
+ORACLE["als_ne_properties"] = ORACLE["als_properties"]

@@ -31,6 +31,7 @@ TOP_K = 10
 ONE_USER = 7
 GRID_REGS = (1.0, 5.0, 25.0)
 REFERENCE_ALS = als.AlsConfig(rank=4, iterations=30, reg=0.3, seed=37)
+SKEW_SAFE_ALS = REFERENCE_ALS.with_params(solver="normal_equations")
 ALS_GRID_REGS = (0.1, 0.2, 0.3)
 ALS_GRID_ITERATIONS = (15, 30)
 DIGITS = 6
@@ -233,6 +234,18 @@ def q_als_properties(spark, d):
     return als_properties(ratings, REFERENCE_ALS, ws)
 
 
+def q_als_ne_properties(spark, d):
+    from sparkrec.operators.properties import als_properties
+
+    ratings, ws = _als_ratings(spark, d)
+    return als_properties(ratings, SKEW_SAFE_ALS, ws)
+
+
+def q_als_ne_eval(spark, d):
+    ws = _ws(spark)
+    return jobs.evaluate_job(tables.interactions(spark, d), ws, SKEW_SAFE_ALS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interactions": q_interactions,
     "interactions_csv": q_interactions_csv,
@@ -259,4 +272,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_recommend": q_als_recommend,
     "als_recommend_user": q_als_recommend_user,
     "als_grid": q_als_grid,
+    "als_ne_properties": q_als_ne_properties,
+    "als_ne_eval": q_als_ne_eval,
 }

@@ -174,9 +174,14 @@ def fit_normal_equations(ratings: DataFrame, cfg, ws) -> tuple[DataFrame, DataFr
     user_counts = ws.materialize(data.groupBy(u).agg(F.count(F.lit(1)).alias("n")), "als_user_counts")
     item_counts = ws.materialize(data.groupBy(i).agg(F.count(F.lit(1)).alias("n")), "als_item_counts")
     n_users, n_items = user_counts.count(), item_counts.count()
-    base = data.persist(StorageLevel.MEMORY_AND_DISK)
-    by_user = RatingsLayout(base, u, i, user_counts, n_users, k, partitions, cfg.salt_cap, ws)
-    by_item = RatingsLayout(base, i, u, item_counts, n_items, k, partitions, cfg.salt_cap, ws)
+    by_user = RatingsLayout(data, u, i, user_counts, n_users, k, partitions, cfg.salt_cap, ws)
+    by_item = RatingsLayout(data, i, u, item_counts, n_items, k, partitions, cfg.salt_cap, ws)
+    # A broadcast-mode layout reads the ratings every half-step: keep them
+    # cached then. Salted layouts persist their own copy instead.
+    base = data.persist(StorageLevel.MEMORY_AND_DISK) if (by_user.broadcast or by_item.broadcast) else data
+    for layout in (by_user, by_item):
+        if layout.broadcast:
+            layout.ratings = base
     try:
         x = ws.materialize(initial_factors(user_counts.select(u), u, k, cfg.seed), "als_x0")
         y = None

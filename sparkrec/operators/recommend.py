@@ -109,17 +109,21 @@ def recommend(
     user: str = "user_id",
     item: str = "item_id",
     titles_rows: int | None = None,
+    users: DataFrame | None = None,
 ) -> DataFrame:
     """Score the candidate pairs, keep each user's top ``k``, attach titles.
 
     Candidates are the pairs a user has already rated (the scored set of the
     original job), each pair once: a pair rated twice is one item, not two
-    list entries. With ``user_id`` the user filter is applied before
-    scoring, so only that user's pairs are scored.
+    list entries. With ``user_id`` (one user) or ``users`` (a DataFrame of
+    users; a left-semi join, so duplicates in it add nothing) the candidates
+    are restricted *before* scoring, so only those users' pairs are scored.
     """
     pairs = candidate_pairs(candidates, user, item)
     if user_id is not None:
         pairs = pairs.filter(F.col(user) == F.lit(user_id))
+    elif users is not None:
+        pairs = pairs.join(users.select(user), user, "left_semi")
     return ranked_titles(model.transform(pairs), titles, k, user_id, user, item, titles_rows=titles_rows)
 
 

@@ -58,3 +58,22 @@ def test_titles_broadcast_when_small(spark):
     df = with_titles(top_k(_preds(spark), 2), titles, titles_rows=1)
     df.collect()
     assert "BroadcastHashJoin" in plan_text(df)
+
+
+class _Identity:
+    def transform(self, pairs):
+        from pyspark.sql import functions as F
+
+        return pairs.withColumn("prediction", (F.col("item_id") % 7).cast("double"))
+
+
+def test_recommend_for_a_set_of_users(spark):
+    from sparkrec.operators.recommend import recommend
+
+    cands = spark.createDataFrame([(u, i) for u in (1, 2, 3) for i in range(1, 15)] + [(2, 3)], "user_id int, item_id int")
+    titles = spark.createDataFrame([(i, f"t{i}") for i in range(1, 15)], "item_id int, title string")
+    users = spark.createDataFrame([(2,), (3,), (3,)], "user_id int")
+    out = recommend(_Identity(), cands, titles, k=3, users=users).collect()
+    assert sorted({r["user_id"] for r in out}) == [2, 3]
+    per_user = [(r["rank"], r["item_id"]) for r in out if r["user_id"] == 2]
+    assert sorted(per_user) == [(1, 6), (2, 13), (3, 5)]

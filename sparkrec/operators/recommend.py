@@ -3,7 +3,7 @@
 * ``top_k_for_user``: filter one user, sort, limit; the filter reaches the
   scan and sort + limit plan as ``TakeOrderedAndProject`` (a per-partition
   top-k merged on the driver side of the stage: k rows per task at most).
-* ``top_k``: the same for every user, with ``row_number() <= k`` over a
+* ``top_k``: the same for every user, with ``dense_rank() <= k`` over a
   user window. Spark plans it as ``WindowGroupLimit`` partial *before* the
   shuffle and final after it, so no task receives more than
   ``k x map partitions`` rows of one user, however many rows a hot user has.
@@ -35,8 +35,10 @@ def top_k_for_user(
     item: str = "item_id",
     score: str = "prediction",
 ) -> DataFrame:
-    """``(user, rank, item, score)`` for one user, at most ``k`` rows."""
-    one = predictions.filter(F.col(user) == F.lit(user_id)).orderBy(*_order(score, item)).limit(k)
+    """``(user, rank, item, score)`` for one user, at most ``k`` rows; copies
+    of a pair count once (de-duplicated among that user's rows only)."""
+    mine = predictions.filter(F.col(user) == F.lit(user_id)).dropDuplicates([user, item])
+    one = mine.orderBy(*_order(score, item)).limit(k)
     w = Window.partitionBy(user).orderBy(*_order(score, item))
     return one.select(F.col(user), F.row_number().over(w).alias("rank"), F.col(item), F.col(score))
 
@@ -50,12 +52,19 @@ def top_k(
     users: DataFrame | None = None,
 ) -> DataFrame:
     """``(user, rank, item, score)`` with ``rank <= k`` for every user (or for
-    the users in ``users``, via a semi join that keeps no duplicate rows)."""
+    the users in ``users``, via a semi join that keeps no duplicate rows).
+
+    Copies of one (user, item) pair (one score per pair) count once:
+    ``dense_rank`` over ``(score desc, item)`` gives them the same rank, so
+    the input need not be de-duplicated first (that would be a shuffle of
+    every pair); only the at most ``k`` ranks per user are de-duplicated.
+    """
     if users is not None:
         predictions = predictions.join(users.select(user), user, "left_semi")
     w = Window.partitionBy(user).orderBy(*_order(score, item))
-    ranked = predictions.select(F.col(user), F.col(item), F.col(score), F.row_number().over(w).alias("rank"))
-    return ranked.filter(F.col("rank") <= k).select(user, "rank", item, score)
+    ranked = predictions.select(F.col(user), F.col(item), F.col(score), F.dense_rank().over(w).alias("rank"))
+    top = ranked.filter(F.col("rank") <= k).dropDuplicates([user, "rank"])
+    return top.select(user, "rank", item, score)
 
 
 def with_titles(
@@ -114,12 +123,12 @@ def recommend(
     """Score the candidate pairs, keep each user's top ``k``, attach titles.
 
     Candidates are the pairs a user has already rated (the scored set of the
-    original job), each pair once: a pair rated twice is one item, not two
-    list entries. With ``user_id`` (one user) or ``users`` (a DataFrame of
+    original job); a pair rated twice is one list entry, not two (see
+    :func:`top_k`). With ``user_id`` (one user) or ``users`` (a DataFrame of
     users; a left-semi join, so duplicates in it add nothing) the candidates
     are restricted *before* scoring, so only those users' pairs are scored.
     """
-    pairs = candidate_pairs(candidates, user, item)
+    pairs = candidates.select(user, item)
     if user_id is not None:
         pairs = pairs.filter(F.col(user) == F.lit(user_id))
     elif users is not None:

@@ -104,8 +104,9 @@ ORACLE: dict[str, str] = {
     "top_k_titles_user": _with(*SCORED_PAIRS)
     + f"SELECT r.user_id, r.rank, r.item_id, p.p_name AS title, round(r.prediction, {DIGITS}) AS prediction "
     f"FROM ranked r JOIN part p ON r.item_id = CAST(p.p_partkey AS INT) WHERE r.rank <= {TOP_K} AND r.user_id = {ONE_USER}",
-    "predictions_csv": _with(*SCORED_PAIRS)
-    + "SELECT user_id, item_id, CAST(prediction AS FLOAT) AS prediction FROM scored",
+    "predictions_csv": _with(*BASE, *_item_mean("rated"))
+    + "SELECT r.user_id, r.item_id, CAST(im.s / CAST(im.n AS DOUBLE) AS FLOAT) AS prediction "
+    "FROM rated r JOIN im ON r.item_id = im.item_id",
     "als_properties": "SELECT * FROM (VALUES "
     + ", ".join(f"('{n}', true)" for n in PROPERTY_NAMES)
     + ") AS t(property, holds)",

@@ -19,7 +19,7 @@ from sparkrec.operators.baseline import ItemMeanConfig, ItemMeanEstimator
 from sparkrec.operators.evaluate import rmse, rmse_by_split
 from sparkrec.functions.rating import rating_expr
 from sparkrec.operators.ratings import derive_ratings, item_average, with_item_average
-from sparkrec.operators.recommend import candidate_pairs, ranked_titles, top_k, top_k_for_user
+from sparkrec.operators.recommend import ranked_titles, top_k, top_k_for_user
 from sparkrec.operators.split import assign_split, split_frames
 from sparkrec.operators.tune import best_trial, grid, run_grid
 from sparkrec.plans import jobs
@@ -152,7 +152,7 @@ def _scored_rated_pairs(spark, d) -> tuple[DataFrame, Workspace]:
     ws = _ws(spark)
     ratings = ws.materialize(_ratings(spark, d, ws), "ratings")
     model = _item_mean(ratings, ws)
-    return model.transform(candidate_pairs(ratings)), ws
+    return model.transform(ratings.select("user_id", "item_id")), ws
 
 
 def q_top_k_user(spark, d):

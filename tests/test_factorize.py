@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import SF_TINY, plan_text
+from conftest import SF_TINY
 from sparkrec.operators import factorize as fz
 from sparkrec.operators import model as als
 from sparkrec.operators.evaluate import rmse_value
@@ -71,3 +71,41 @@ def test_initial_factors_unit_length_and_stable(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     for row in a:
         assert math.isclose(sum(row[f"f{j}"] ** 2 for j in range(4)), 1.0, rel_tol=1e-9)
+
+
+def test_one_sweep_equals_numpy_brute_force(spark, ws):
+    """ALS-WR normal equations solved directly in numpy from the same start."""
+    import numpy as np
+
+    ratings = _ratings(spark, ws)
+    k, reg = 3, 0.3
+    cfg = als.AlsConfig(rank=k, iterations=1, reg=reg, solver="normal_equations")
+    model = als.fit(ratings, cfg, ws)
+
+    rows = [(r["user_id"], r["item_id"], float(r["rating"])) for r in ratings.collect()]
+    users = sorted({u for u, _, _ in rows})
+    x0 = {
+        r["user_id"]: np.array([r[f"f{j}"] for j in range(k)])
+        for r in fz.initial_factors(spark.createDataFrame([(u,) for u in users], "user_id int"), "user_id", k, 37).collect()
+    }
+
+    def solve(fixed, by_key, other):
+        out = {}
+        for key, group in by_key.items():
+            a = sum(np.outer(fixed[o], fixed[o]) for o, _ in group) + reg * len(group) * np.eye(k)
+            b = sum(r * fixed[o] for o, r in group)
+            out[key] = np.linalg.solve(a, b)
+        return out
+
+    by_item, by_user = {}, {}
+    for u, i, r in rows:
+        by_item.setdefault(i, []).append((u, r))
+        by_user.setdefault(u, []).append((i, r))
+    y1 = solve(x0, by_item, "user")
+    x1 = solve(y1, by_user, "item")
+
+    got_y = {r["id"]: np.array(r["features"]) for r in model.itemFactors.collect()}
+    got_x = {r["id"]: np.array(r["features"]) for r in model.userFactors.collect()}
+    assert got_y.keys() == y1.keys() and got_x.keys() == x1.keys()
+    assert max(np.abs(got_y[i] - y1[i]).max() for i in y1) < 1e-5
+    assert max(np.abs(got_x[u] - x1[u]).max() for u in x1) < 1e-5

@@ -4,7 +4,6 @@ import math
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, FloatType, StructField, StructType
 
 from sparkrec.functions.rating import rating_expr, rating_sql

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkrec.functions.keys import checked_int
 from sparkrec.sources.schemas import INTERACTIONS_CSV, PREDICTIONS, TITLES
 
 
@@ -53,7 +54,7 @@ def read_titles_csv(
         raw = reader.option("inferSchema", True).csv(path)
     else:
         raw = reader.option("enforceSchema", False).schema(_titles_file_schema(item_col, title_col)).csv(path)
-    return raw.select(F.col(item_col).cast("int").alias("item_id"), F.col(title_col).cast("string").alias("title"))
+    return raw.select(checked_int(item_col).alias("item_id"), F.col(title_col).cast("string").alias("title"))
 
 
 def _titles_file_schema(item_col: str, title_col: str):

@@ -3,8 +3,8 @@
 ``interactions``: a customer's order line is a review of a part.
 
 ===============  ====================================
-user_id          ``o_custkey`` as int (overflow fails)
-item_id          ``l_partkey`` as int (overflow fails)
+user_id          ``o_custkey`` as int (out of range fails)
+item_id          ``l_partkey`` as int (out of range fails)
 hours            ``l_quantity`` as float
 is_recommended   ``l_returnflag <> 'R'``
 ===============  ====================================
@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkrec.functions.keys import checked_int
 from sparkrec.plans.joins import bounded_side
 
 # Hashed-relation bytes per (o_orderkey, o_custkey) row for the size check.
@@ -37,8 +38,8 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
     joined = lines.join(_orders_side(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
-        F.col("o_custkey").cast("int").alias("user_id"),
-        F.col("l_partkey").cast("int").alias("item_id"),
+        checked_int("o_custkey").alias("user_id"),
+        checked_int("l_partkey").alias("item_id"),
         F.col("l_quantity").cast("float").alias("hours"),
         (F.col("l_returnflag") != F.lit("R")).alias("is_recommended"),
     )
@@ -51,7 +52,7 @@ def _orders_side(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("int").alias("item_id"), F.col("p_name").alias("title")
+        checked_int("p_partkey").alias("item_id"), F.col("p_name").alias("title")
     )
 
 
@@ -62,13 +63,13 @@ def interactions_csv_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     joined = lines.join(_orders_side(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
-        F.col("l_partkey").cast("int").alias("app_id"),
+        checked_int("l_partkey").alias("app_id"),
         F.lit(None).cast("int").alias("helpful"),
         F.lit(None).cast("int").alias("funny"),
         F.col("l_shipdate").cast("date").alias("date"),
         (F.col("l_returnflag") != F.lit("R")).alias("is_recommended"),
         F.col("l_quantity").cast("float").alias("hours"),
-        F.col("o_custkey").cast("int").alias("user_id"),
+        checked_int("o_custkey").alias("user_id"),
         F.lit(None).cast("int").alias("review_id"),
     )
 
@@ -76,7 +77,7 @@ def interactions_csv_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 def titles_csv_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles with the CSV's column names plus a few more, as a titles file has."""
     return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("int").alias("app_id"),
+        checked_int("p_partkey").alias("app_id"),
         F.col("p_name").alias("title"),
         F.col("p_brand").alias("brand"),
         F.col("p_retailprice").alias("price"),

@@ -73,10 +73,19 @@ def test_large_average_side_stays_shuffle_join(spark, ws):
         spark.conf.set(key, old)
 
 
-def test_key_beyond_int_fails(spark, tmp_path):
+def test_key_beyond_int_fails_even_without_ansi(spark):
     import pytest
     from pyspark.sql.types import LongType, StructField, StructType
 
-    big = spark.createDataFrame([(3000000000,)], StructType([StructField("k", LongType())]))
-    with pytest.raises(Exception, match="CAST_OVERFLOW|overflow"):
-        big.select(F.col("k").cast("int")).collect()
+    from sparkrec.functions.keys import checked_int
+
+    big = spark.createDataFrame([(5,), (3000000000,)], StructType([StructField("k", LongType())]))
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            with pytest.raises(Exception, match="out of int range: 3000000000"):
+                big.select(checked_int("k")).collect()
+        assert [r[0] for r in big.filter("k < 10").select(checked_int("k")).collect()] == [5]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)

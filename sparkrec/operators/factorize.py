@@ -13,7 +13,10 @@ ALS-WR objective of Spark's ALS):
    triangle of ``y y^T`` and of ``r y``: partial aggregation on the map side,
    so a key holding a third of all ratings still sends one row per task;
 3. a batched ``numpy`` solve of the small ``k x k`` systems in
-   ``mapInPandas`` (rows are independent; Arrow batches);
+   ``mapInPandas`` (rows are independent; Arrow batches). A Cholesky
+   solve written as chained column expressions gave the same numbers but
+   took about twice as long per half-step (planning and code generation
+   of the long projection chain);
 4. the new factors written to the workspace (lineage cut every half-step;
    caching instead would nest each step's adaptive plan in the next one's,
    and plan size doubles per step).

@@ -77,6 +77,7 @@ ORACLE: dict[str, str] = {
     "interactions": _with(INTER) + "SELECT * FROM inter",
     "interactions_csv": _with(INTER) + "SELECT * FROM inter",
     "titles_csv_inferred": "SELECT CAST(p_partkey AS INT) AS item_id, p_name AS title FROM part",
+    "titles_csv": "SELECT CAST(p_partkey AS INT) AS item_id, p_name AS title FROM part",
     "item_avg_hours": _with(INTER, AVGH) + "SELECT item_id, avg_hours FROM avgh",
     "with_item_avg": _with(INTER, AVGH, JOINED) + "SELECT item_id, user_id, hours, is_recommended, avg_hours FROM joined",
     "rating_rule": _with(INTER, AVGH, JOINED, RULED)

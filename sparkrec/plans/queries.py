@@ -14,10 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkrec.functions.rating import rating_expr
 from sparkrec.operators import model as als
 from sparkrec.operators.baseline import ItemMeanConfig, ItemMeanEstimator
 from sparkrec.operators.evaluate import rmse, rmse_by_split
-from sparkrec.functions.rating import rating_expr
 from sparkrec.operators.ratings import derive_ratings, item_average, with_item_average
 from sparkrec.operators.recommend import ranked_titles, top_k, top_k_for_user
 from sparkrec.operators.split import assign_split, split_frames
@@ -59,6 +59,13 @@ def q_titles_csv_inferred(spark, d):
     return io.read_titles_csv(spark, path, infer=True)
 
 
+def q_titles_csv(spark, d):
+    ws = _ws(spark)
+    path = ws.location("titles_csv")
+    io.write_csv(tables.titles_csv_frame(spark, d), path)
+    return io.read_titles_csv(spark, path)
+
+
 def q_item_avg_hours(spark, d):
     return item_average(tables.interactions(spark, d))
 
@@ -250,6 +257,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interactions": q_interactions,
     "interactions_csv": q_interactions_csv,
     "titles_csv_inferred": q_titles_csv_inferred,
+    "titles_csv": q_titles_csv,
     "item_avg_hours": q_item_avg_hours,
     "with_item_avg": q_with_item_avg,
     "rating_rule": q_rating_rule,

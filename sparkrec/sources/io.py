@@ -43,24 +43,18 @@ def read_titles_csv(
     item_col: str = "app_id",
     title_col: str = "title",
 ) -> DataFrame:
-    """Item titles ``(item_id int, title string)``.
+    """Item titles ``(item_id int, title string)`` from a CSV with a header.
 
-    With ``infer=True`` the schema is inferred from the file (one extra pass
-    over it), as the titles file may carry more columns than these two; the
-    key is then cast to int with an overflow check.
+    The file may carry any other columns; the two are selected by header
+    name. Without ``infer`` every column is read as a string (no extra
+    pass over the file) and the key is parsed; with ``infer=True`` Spark
+    infers the schema first (one more pass). Either way a key outside the
+    int range fails, and an unparsable key becomes null.
     """
     reader = spark.read.option("header", True)
-    if infer:
-        raw = reader.option("inferSchema", True).csv(path)
-    else:
-        raw = reader.option("enforceSchema", False).schema(_titles_file_schema(item_col, title_col)).csv(path)
-    return raw.select(checked_int(item_col).alias("item_id"), F.col(title_col).cast("string").alias("title"))
-
-
-def _titles_file_schema(item_col: str, title_col: str):
-    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
-
-    return StructType([StructField(item_col, IntegerType(), True), StructField(title_col, StringType(), True)])
+    raw = reader.option("inferSchema", True).csv(path) if infer else reader.csv(path)
+    key = F.col(item_col) if infer else F.col(item_col).try_cast("long")
+    return raw.select(checked_int(key, item_col).alias("item_id"), F.col(title_col).cast("string").alias("title"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -49,6 +49,16 @@ def test_titles_inferred_and_explicit(spark, tmp_path):
     assert inferred.exceptAll(tables.titles(spark, SF_TINY)).count() == 0
 
 
+def test_titles_by_header_name_without_inference(spark, tmp_path):
+    text = "name_x,title,app_id,price\nq,Alpha,10,1.5\nr,Beta,x,2\ns,Gamma,3000000000,1\n"
+    p = _write(tmp_path, "t.csv", text)
+    with pytest.raises(Exception, match="out of int range"):
+        io.read_titles_csv(spark, p).collect()
+    ok = _write(tmp_path, "t2.csv", "name_x,title,app_id,price\nq,Alpha,10,1.5\nr,Beta,x,2\n")
+    got = {r["title"]: r["item_id"] for r in io.read_titles_csv(spark, ok).collect()}
+    assert got == {"Alpha": 10, "Beta": None}
+
+
 def test_predictions_round_trip_and_overwrite(spark, tmp_path):
     df = spark.createDataFrame([(1, 2, 3.25), (4, 5, 0.5)], "user_id int, item_id int, prediction double")
     path = str(tmp_path / "pred")

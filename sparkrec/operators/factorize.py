@@ -165,7 +165,18 @@ def as_feature_table(factors: DataFrame, key: str, rank: int) -> DataFrame:
 
 
 def fit_normal_equations(ratings: DataFrame, cfg, ws) -> tuple[DataFrame, DataFrame, int, int]:
-    """Run ``cfg.iterations`` ALS sweeps; returns feature tables and their row counts.
+    """Run ``cfg.iterations`` ALS sweeps; returns feature tables and their row counts."""
+    path, n_users, n_items = fit_normal_equations_path(ratings, cfg, ws, [cfg.iterations])
+    uf, itf = path[cfg.iterations]
+    return uf, itf, n_users, n_items
+
+
+def fit_normal_equations_path(
+    ratings: DataFrame, cfg, ws, sweeps: list[int]
+) -> tuple[dict[int, tuple[DataFrame, DataFrame]], int, int]:
+    """One run of ``max(sweeps)`` ALS sweeps, keeping the factors after each
+    count in ``sweeps`` (the run to 30 passes through 15 from the same start,
+    so a grid over iteration counts needs one run per rank and lambda).
 
     Each sweep solves items from users, then users from items (as Spark ML
     does); every half-step's factors are written to the workspace.
@@ -185,15 +196,20 @@ def fit_normal_equations(ratings: DataFrame, cfg, ws) -> tuple[DataFrame, DataFr
     for layout in (by_user, by_item):
         if layout.broadcast:
             layout.ratings = base
+    wanted = sorted(set(sweeps))
+    path: dict[int, tuple[DataFrame, DataFrame]] = {}
     try:
         x = ws.materialize(initial_factors(user_counts.select(u), u, k, cfg.seed), "als_x0")
-        y = None
-        for it in range(max(cfg.iterations, 1)):
-            y = ws.materialize(half_step(by_user, x, i, r, k, cfg.reg), f"als_y{it + 1}")
-            if it < cfg.iterations:
-                x = ws.materialize(half_step(by_item, y, u, r, k, cfg.reg), f"als_x{it + 1}")
+        for sweep in range(1, max(max(wanted), 1) + 1):
+            y = ws.materialize(half_step(by_user, x, i, r, k, cfg.reg), f"als_y{sweep}")
+            x_next = ws.materialize(half_step(by_item, y, u, r, k, cfg.reg), f"als_x{sweep}")
+            if 0 in wanted and sweep == 1:
+                path[0] = (as_feature_table(x, u, k), as_feature_table(y, i, k))
+            x = x_next
+            if sweep in wanted:
+                path[sweep] = (as_feature_table(x, u, k), as_feature_table(y, i, k))
     finally:
         by_user.release()
         by_item.release()
         base.unpersist()
-    return as_feature_table(x, u, k), as_feature_table(y, i, k), n_users, n_items
+    return path, n_users, n_items

@@ -109,3 +109,25 @@ def test_one_sweep_equals_numpy_brute_force(spark, ws):
     assert got_y.keys() == y1.keys() and got_x.keys() == x1.keys()
     assert max(np.abs(got_y[i] - y1[i]).max() for i in y1) < 1e-5
     assert max(np.abs(got_x[u] - x1[u]).max() for u in x1) < 1e-5
+
+
+def test_path_snapshots_equal_separate_fits(spark, ws):
+    ratings = _ratings(spark, ws)
+    cfg = als.AlsConfig(rank=3, reg=0.3, solver="normal_equations")
+    path = als.fit_path(ratings, cfg, [2, 4], ws)
+    for n in (2, 4):
+        direct = als.fit(ratings, cfg.with_params(iterations=n), ws)
+        a, b = _factors(path[n]), _factors(direct)
+        assert max(abs(x - y) for k in a for x, y in zip(a[k], b[k])) < 1e-6
+
+
+def test_tune_job_shares_runs_across_iteration_counts(spark, ws):
+    from sparkrec.plans import jobs
+
+    cfg = als.AlsConfig(rank=3, solver="normal_equations")
+    trials, best = jobs.tune_job(spark, tables.interactions(spark, SF_TINY), ws, cfg,
+                                 ranks=(3,), regs=(0.3,), iterations=(1, 2), parallelism=2)
+    rows = trials.orderBy("trial_no").collect()
+    assert [r["iterations"] for r in rows] == [1, 2]
+    assert rows[0]["validation_rmse"] != rows[1]["validation_rmse"]
+    assert best.first()["test_rmse"] is not None

@@ -88,7 +88,8 @@ def derive_ratings(
     pruned = interactions.select(user, item, is_recommended, hours)
     rows = None
     if workspace is not None:
-        pruned = workspace.materialize(pruned, "interactions")
+        parallelism = interactions.sparkSession.sparkContext.defaultParallelism
+        pruned = workspace.materialize(pruned, "interactions", min_partitions=parallelism)
     averages = item_average(pruned, item, hours)
     if workspace is not None:
         averages = workspace.materialize(averages, "item_average")

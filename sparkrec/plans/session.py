@@ -84,18 +84,35 @@ class Workspace:
     def location(self, name: str) -> str:
         return f"{self.path}/{name}"
 
-    def materialize(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    def materialize(
+        self,
+        df: DataFrame,
+        name: str,
+        partition_by: list[str] | None = None,
+        min_partitions: int | None = None,
+    ) -> DataFrame:
         """Write ``df`` as Parquet and return it read back (lineage cut).
 
         Every call gets a fresh path, so a stage is never overwritten while a
         lazy DataFrame built on an earlier one may still read it.
+
+        With ``min_partitions``, a table that reads back as fewer splits
+        than that (a few unsplittable files, e.g. from a single-file input)
+        is rewritten once, spread round-robin, so later stages run in
+        parallel. A table large enough to have that many splits is left
+        as it is (no extra shuffle). Only the written table is inspected:
+        its partitions are file splits, so counting them runs no job,
+        whereas asking an arbitrary plan would execute its shuffle stages.
         """
         path = self.location(f"{name}-{uuid.uuid4().hex[:8]}")
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        return self.spark.read.parquet(path)
+        out = self.spark.read.parquet(path)
+        if min_partitions and not partition_by and out.rdd.getNumPartitions() < min_partitions:
+            return self.materialize(out.repartition(min_partitions), f"{name}-spread")
+        return out
 
     def drop(self) -> None:
         """Delete the folder through the Hadoop file system of its URI."""

@@ -27,21 +27,24 @@ def _parse_bytes(text: str) -> int:
 
 
 def broadcast_budget(spark: SparkSession) -> int:
-    """Byte budget for an explicit broadcast, from the session settings."""
+    """Byte budget for an explicit broadcast, from the session settings.
+
+    The adaptive threshold when it is set, else the static one; a value of
+    -1 (or 0) disables broadcasting, explicit ones included.
+    """
     for key in ("spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.autoBroadcastJoinThreshold"):
         try:
-            value = spark.conf.get(key)
-        except Exception:  # noqa: BLE001 - unset key
-            continue
-        if value:
-            parsed = _parse_bytes(value)
-            if parsed > 0:
-                return parsed
+            value = spark.conf.get(key, None)
+        except Exception:  # noqa: BLE001 - unset optional key
+            value = None
+        if value is not None and str(value).strip():
+            return max(_parse_bytes(str(value)), 0)
     return DEFAULT_BUDGET_BYTES
 
 
 def fits_broadcast(spark: SparkSession, rows: int, row_bytes: int = BROADCAST_ROW_BYTES) -> bool:
-    return rows * row_bytes <= broadcast_budget(spark)
+    budget = broadcast_budget(spark)
+    return budget > 0 and rows * row_bytes <= budget
 
 
 def bounded_side(df: DataFrame, rows: int | None = None, row_bytes: int = BROADCAST_ROW_BYTES) -> DataFrame:

@@ -99,6 +99,8 @@ def main(argv: list[str] | None = None) -> int:
             result = jobs.recommend_job(inter, titles, ws, cfg, args.k, args.user, args.predictions_out, args.format)
         if args.out:
             result.write.mode("overwrite").parquet(args.out)
+        elif args.job == "recommend" and args.user is None:
+            print(json.dumps({"users": result.select("user_id").distinct().count(), "rows": result.count()}))
         elif args.job != "recommend" or args.user is not None:
             order = {"evaluate": "split", "tune": "trial_no", "recommend": "rank"}[args.job]
             for row in result.orderBy(order).collect():  # a few rows: splits, the best trial, one list

@@ -47,6 +47,28 @@ def main() -> None:
             print(f"\n### {name}\n")
             print(final_plan(df))
 
+        # The skew-safe solver's half-step with factors too big to broadcast:
+        # ratings in a salted layout (every item with more than `cap`
+        # ratings spread over salts), only the factor side is shuffled.
+        from pyspark.sql import functions as F
+
+        from sparkrec.operators import factorize as fz
+
+        key = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+        old = spark.conf.get(key)
+        spark.conf.set(key, "1k")
+        try:
+            train = split_frames(data)[0].select("user_id", "item_id", "rating")
+            counts = train.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+            layout = fz.RatingsLayout(train, "item_id", "user_id", counts, counts.count(), 4, 8, 10, ws)
+            factors = fz.initial_factors(counts.select("item_id"), "item_id", 4, 37)
+            step = fz.normal_equations(layout.join(factors), "user_id", "rating", 4)
+            print("\n### skew-safe ALS half-step, factors not broadcast (salted layout, cap 10)\n")
+            print(final_plan(step))
+            layout.release()
+        finally:
+            spark.conf.set(key, old)
+
 
 if __name__ == "__main__":
     main()

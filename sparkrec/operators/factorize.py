@@ -200,14 +200,24 @@ def fit_normal_equations_path(
     path: dict[int, tuple[DataFrame, DataFrame]] = {}
     try:
         x = ws.materialize(initial_factors(user_counts.select(u), u, k, cfg.seed), "als_x0")
+        stale = [] if 0 in wanted else [ws.last_path]
         for sweep in range(1, max(max(wanted), 1) + 1):
             y = ws.materialize(half_step(by_user, x, i, r, k, cfg.reg), f"als_y{sweep}")
+            y_path = ws.last_path
             x_next = ws.materialize(half_step(by_item, y, u, r, k, cfg.reg), f"als_x{sweep}")
             if 0 in wanted and sweep == 1:
                 path[0] = (as_feature_table(x, u, k), as_feature_table(y, i, k))
             x = x_next
+            # Earlier sweeps' tables are no longer read (each step is its own
+            # written table): delete them unless they are a requested result.
+            for old in stale:
+                ws.remove(old)
+            stale = []
             if sweep in wanted:
                 path[sweep] = (as_feature_table(x, u, k), as_feature_table(y, i, k))
+            else:
+                keep_y = 0 in wanted and sweep == 1  # snapshot 0 pairs x0 with y1
+                stale = [ws.last_path] + ([] if keep_y else [y_path])
     finally:
         by_user.release()
         by_item.release()

@@ -80,6 +80,7 @@ class Workspace:
         self.spark = spark
         root = shared_checkpoint_dir(spark).rstrip("/")
         self.path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+        self.last_path: str | None = None
 
     def location(self, name: str) -> str:
         return f"{self.path}/{name}"
@@ -105,6 +106,7 @@ class Workspace:
         whereas asking an arbitrary plan would execute its shuffle stages.
         """
         path = self.location(f"{name}-{uuid.uuid4().hex[:8]}")
+        self.last_path = path
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -114,11 +116,20 @@ class Workspace:
             return self.materialize(out.repartition(min_partitions), f"{name}-spread")
         return out
 
+    def remove(self, path: str) -> None:
+        """Delete one stage written by :meth:`materialize` (no longer read)."""
+        if not path.startswith(self.path):
+            raise ValueError(f"{path} is not in this workspace")
+        self._delete(path)
+
     def drop(self) -> None:
         """Delete the folder through the Hadoop file system of its URI."""
+        self._delete(self.path)
+
+    def _delete(self, where: str) -> None:
         jvm = self.spark.sparkContext._jvm
         hadoop_conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        path = jvm.org.apache.hadoop.fs.Path(where)
         path.getFileSystem(hadoop_conf).delete(path, True)
 
     def __enter__(self) -> "Workspace":

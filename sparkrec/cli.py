@@ -18,6 +18,7 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 
 def _session(args) -> SparkSession:
@@ -68,6 +69,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--iteration-list", type=int, nargs="+", default=[15, 30])
     p.add_argument("--parallelism", type=int, default=1, help="trials fitted at once (tune)")
     p.add_argument("--user", type=int, help="one user's list (recommend); all users if omitted")
+    p.add_argument("--users", help="CSV with a user_id column: lists for those users (recommend)")
     p.add_argument("-k", type=int, default=10)
     p.add_argument("--predictions-out", help="write every scored pair here (recommend)")
     p.add_argument("--format", default="csv", choices=["csv", "parquet"])
@@ -96,7 +98,14 @@ def main(argv: list[str] | None = None) -> int:
         else:
             if titles is None:
                 p.error("recommend needs --titles or --tables")
-            result = jobs.recommend_job(inter, titles, ws, cfg, args.k, args.user, args.predictions_out, args.format)
+            users = None
+            if args.users:
+                users = spark.read.option("header", True).csv(args.users).select(
+                    F.col("user_id").try_cast("int").alias("user_id")
+                )
+            result = jobs.recommend_job(
+                inter, titles, ws, cfg, args.k, args.user, args.predictions_out, args.format, users
+            )
         if args.out:
             result.write.mode("overwrite").parquet(args.out)
         elif args.job == "recommend" and args.user is None:

@@ -37,3 +37,12 @@ def test_tune_from_tables(spark, capsys):
     rows = _lines(capsys)
     assert len(rows) == 3  # two trials and the best
     assert rows[-1]["test_rmse"] is not None
+
+
+def test_recommend_for_users_file(spark, tmp_path, capsys):
+    users = tmp_path / "users.csv"
+    users.write_text("user_id\n7\n10\n7\n")
+    assert main(["recommend", "--tables", SF_TINY, "--local", "8", "--iterations", "3", "--blocks", "2",
+                 "--users", str(users)]) == 0
+    summary = _lines(capsys)[-1]
+    assert summary["users"] == 2 and 0 < summary["rows"] <= 20

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from sparkrec.llm import mixing, pii, quality
+from sparkrec.llm import mixing, packing, pii, quality, token_files
 
 QUERIES = {
+    "op3_packing": packing.op3_packing,
     "op5_mixing": mixing.op5_mixing,
+    "op6_token_files": token_files.op6_token_files,
     "op7_host_quality": quality.op7_host_quality,
     "op9_pii": pii.op9_pii,
 }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from sparkrec.llm import mixing, packing, pii, quality, token_files
+from sparkrec.llm import langid, mixing, packing, pii, quality, token_files
 
 QUERIES = {
+    "op1_language_id": langid.op1_language_id,
     "op3_packing": packing.op3_packing,
     "op5_mixing": mixing.op5_mixing,
     "op6_token_files": token_files.op6_token_files,

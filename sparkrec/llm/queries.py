@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sparkrec.llm import langid, mixing, packing, pii, quality, token_files
+from sparkrec.llm import langid, mixing, packing, pii, quality, secrets, token_files
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_token_files": token_files.op6_token_files,
     "op7_host_quality": quality.op7_host_quality,
     "op9_pii": pii.op9_pii,
+    "op10_secrets": secrets.op10_secrets,
 }
 
 ORACLE = {

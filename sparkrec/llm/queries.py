@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from sparkrec.llm import langid, mixing, packing, pii, quality, secrets, token_files
+from sparkrec.llm import fingerprints, langid, mixing, packing, pii, quality, secrets, token_files
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
     "op3_packing": packing.op3_packing,
+    "op4_fingerprints": fingerprints.op4_fingerprints,
     "op5_mixing": mixing.op5_mixing,
     "op6_token_files": token_files.op6_token_files,
     "op7_host_quality": quality.op7_host_quality,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sparkrec.llm import fingerprints, langid, mixing, packing, pii, quality, secrets, token_files
+from sparkrec.llm import fingerprints, jaccard, langid, mixing, packing, pii, quality, secrets, token_files
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_mixing": mixing.op5_mixing,
     "op6_token_files": token_files.op6_token_files,
     "op7_host_quality": quality.op7_host_quality,
+    "op8_jaccard_join": jaccard.op8_jaccard_join,
     "op9_pii": pii.op9_pii,
     "op10_secrets": secrets.op10_secrets,
 }

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from sparkrec.llm import fingerprints, jaccard, langid, mixing, packing, pii, quality, secrets, token_files
+from sparkrec.llm import fingerprints, jaccard, langid, mixing, packing, pii, quality, secrets, substrings, token_files
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
+    "op2_suffix_dedup": substrings.op2_suffix_dedup,
     "op3_packing": packing.op3_packing,
     "op4_fingerprints": fingerprints.op4_fingerprints,
     "op5_mixing": mixing.op5_mixing,

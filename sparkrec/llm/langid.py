@@ -287,35 +287,55 @@ def fit(labelled: DataFrame, path: str | None = None, docs_per_lang: int = DOCS_
 _SCORERS: dict[str, Scorer] = {}
 
 
+class Predictor:
+    """Predictions of a batch of texts, with this worker's scorer of the model."""
+
+    def __init__(self, model: Model):
+        self.model, self.key = model, uuid.uuid4().hex
+
+    def __call__(self, texts) -> tuple[list[str], list[float]]:
+        model = self.model
+        if model.langs and self.key not in _SCORERS:
+            _SCORERS.clear()  # one model a worker
+            _SCORERS[self.key] = Scorer(model.path, model.p)
+        preds, scores = [], []
+        for part in _chunks(texts):
+            for total in _SCORERS[self.key].texts(part) if model.langs else [None] * len(part):
+                if total is None:
+                    preds.append(UNDETERMINED)
+                    scores.append(0.0)
+                else:
+                    post = model.posterior(total)
+                    best = int(post.argmax())
+                    preds.append(model.langs[best])
+                    scores.append(float(post[best]))
+        return preds, scores
+
+
 def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document ``doc_id, lang_pred, score``, from its text alone."""
-    key = uuid.uuid4().hex
+    predictor = Predictor(model)
 
     def run(batches):
-        if model.langs and key not in _SCORERS:
-            _SCORERS.clear()  # one model a worker
-            _SCORERS[key] = Scorer(model.path, model.p)
         for batch in batches:
-            preds, scores = [], []
-            for part in _chunks(batch.column(1)):
-                if not model.langs:
-                    totals = [None] * len(part)
-                else:
-                    totals = _SCORERS[key].texts(part)
-                for total in totals:
-                    if total is None:
-                        preds.append(UNDETERMINED)
-                        scores.append(0.0)
-                    else:
-                        post = model.posterior(total)
-                        best = int(post.argmax())
-                        preds.append(model.langs[best])
-                        scores.append(float(post[best]))
+            preds, scores = predictor(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(preds, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     return pick(docs, doc_id=doc_id, text=text).mapInArrow(run, "doc_id bigint, lang_pred string, score double")
 
 
+def accepted(docs: DataFrame, model: Model, text: str = "text", min_score: float = 0.5) -> DataFrame:
+    """The rows, with all their columns, whose text has a language with at least ``min_score``."""
+    predictor, at = Predictor(model), docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            preds, scores = predictor(batch.column(at))
+            yield batch.filter(pa.array([p != UNDETERMINED and s >= min_score for p, s in zip(preds, scores)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _chunks(column):
     """Word lists of the texts, about ``CHUNK_CHARS`` characters at a time."""
     part, size = [], 0

@@ -56,14 +56,14 @@ def budgets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, max_epochs: in
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
         weights=WEIGHTS, max_epochs: int = 3, seed: str = "mix") -> DataFrame:
-    """Per document: ``doc_id, source, size, source_size, target, taken``.
+    """Per document: ``doc_id, source, size, source_size, target, taken, text_key``.
 
     The driver sees one ``(source, size)`` row per source, no document.
     """
     spark = docs.sparkSession
     key = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 12), 16, 10)
     sized = pick(docs, doc_id=doc_id, text=text, source=source).select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"), key.cast("bigint").alias("key")
+        "doc_id", "source", word_count(F.col("text")).alias("size"), key.cast("bigint").alias("key"), F.xxhash64("text").alias("text_key")
     )
     sized = scratch(spark, "mix").materialize(sized, "sized")
     totals = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
@@ -84,7 +84,25 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("budget") / F.col("source_size"))).otherwise(F.lit(0)).cast("bigint")
     rest = F.col("budget") - epochs * F.col("source_size") - F.col("offset") - F.col("inside")
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("bigint").alias("taken"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("bigint").alias("taken"), "text_key")
+
+
+def copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The mix as rows: every row of ``docs``, with all its columns, as often as the mix takes it.
+
+    The one document a source's budget cuts is taken whole or not, whichever
+    is nearer; documents that are taken 0 times, or have no words, go.
+    """
+    ws = scratch(docs.sparkSession, "mix-copies")
+    taken = mix(docs, doc_id, text, source, **options).where("size > 0")
+    times = taken.groupBy(F.col("doc_id").alias("mix_id"), F.col("text_key").alias("mix_key")).agg(
+        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("mix_times")
+    )
+    times = ws.materialize(times.where("mix_times > 0"), "times")
+    key = F.xxhash64(docs[f"`{text}`"].cast("string"))
+    whole = docs.select(F.struct("*").alias("row"), docs[f"`{doc_id}`"].cast("bigint").alias("row_id"), key.alias("row_key"))
+    joined = whole.join(times, F.col("row_id").eqNullSafe(F.col("mix_id")) & (F.col("row_key") == F.col("mix_key")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("mix_times")))).select("row.*")
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from sparkrec.llm import fingerprints, jaccard, langid, mixing, packing, pii, quality, secrets, substrings, token_files
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard.op8_jaccard_join,
     "op9_pii": pii.op9_pii,
     "op10_secrets": secrets.op10_secrets,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {

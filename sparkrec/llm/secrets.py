@@ -377,6 +377,27 @@ def scan(docs: DataFrame, field: Field | None, doc_id: str = "doc_id", text: str
     return pick(docs, doc_id=doc_id, text=text).mapInArrow(run, schema)
 
 
+def without_secrets(docs: DataFrame, field: Field | None, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """All rows and columns, with every span of ``text`` replaced by a mark (and ``n_chars``, if there, counted anew)."""
+    key, names = uuid.uuid4().hex, docs.columns
+    at = names.index(text)
+
+    def run(batches):
+        if key not in _SCANNERS:
+            _SCANNERS.clear()
+            _SCANNERS[key] = Scanner(field)
+        find = _SCANNERS[key].spans
+        for batch in batches:
+            texts = [t.as_py() for t in batch.column(at)]
+            clean = [redacted(t, spans) if t and (spans := find(t)) else t for t in texts]
+            columns = list(batch.columns)
+            columns[at] = pa.array(clean, batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    out = docs.mapInArrow(run, docs.schema)
+    return out.withColumn(n_chars, F.length(text).cast(docs.schema[n_chars].dataType)) if n_chars in names else out
+
+
 def op10_secrets(spark, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return scan(docs, fit(docs)).drop("redacted")

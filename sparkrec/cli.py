@@ -3,7 +3,7 @@
     python -m sparkrec evaluate  --interactions reviews.csv
     python -m sparkrec tune      --interactions reviews.csv --ranks 4 7 10 13
     python -m sparkrec recommend --interactions reviews.csv --titles games.csv \\
-                                 --user 8762579 --predictions-out out/predictions
+                                 --user 1001 --predictions-out out/predictions
 
 Inputs are the review-log CSV (eight columns, header) and a titles CSV
 (``app_id``, ``title`` plus any other columns); ``--tables DIR`` reads the
@@ -44,7 +44,7 @@ def _config(args):
 
     return AlsConfig(
         rank=args.rank, iterations=args.iterations, reg=args.reg, seed=args.seed,
-        user_blocks=args.blocks, item_blocks=args.blocks, solver=args.solver,
+        user_blocks=args.blocks, item_blocks=args.blocks, solver=args.solver, nonnegative=args.nonnegative,
     )
 
 
@@ -60,8 +60,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--iterations", type=int, default=30)
     p.add_argument("--reg", type=float, default=0.3)
     p.add_argument("--seed", type=int, default=37)
-    p.add_argument("--blocks", type=int, default=None, help="ALS user and item blocks (default: parallelism)")
-    p.add_argument("--solver", default="auto", choices=["auto", "mllib", "normal_equations"])
+    p.add_argument("--blocks", type=int, default=None, help="user and item blocks (needed by, and only for, --solver mllib)")
+    p.add_argument("--solver", default="normal_equations", choices=["normal_equations", "mllib"])
+    p.add_argument("--nonnegative", action="store_true", help="non-negative factors (--solver mllib)")
     p.add_argument("--weights", type=float, nargs=3, default=[6, 2, 2], help="train / validation / test")
     p.add_argument("--split-seed", type=int, default=37)
     p.add_argument("--ranks", type=int, nargs="+", default=[4, 7, 10, 13])
@@ -77,8 +78,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--local", type=int, help="run on local[N] instead of the submitted session")
     args = p.parse_args(argv)
 
+    from sparkrec.operators.recommend import title_list
     from sparkrec.plans import jobs
     from sparkrec.plans.session import Workspace
+    from sparkrec.sources.io import read_users_csv
 
     spark = _session(args)
     inter, titles = _inputs(spark, args)
@@ -100,19 +103,21 @@ def main(argv: list[str] | None = None) -> int:
                 p.error("recommend needs --titles or --tables")
             users = None
             if args.users:
-                users = spark.read.option("header", True).csv(args.users).select(
-                    F.col("user_id").try_cast("int").alias("user_id")
-                )
+                users = read_users_csv(spark, args.users)
             result = jobs.recommend_job(
                 inter, titles, ws, cfg, args.k, args.user, args.predictions_out, args.format, users
             )
         if args.out:
             result.write.mode("overwrite").parquet(args.out)
         elif args.job == "recommend" and args.user is None:
-            print(json.dumps({"users": result.select("user_id").distinct().count(), "rows": result.count()}))
-        elif args.job != "recommend" or args.user is not None:
-            order = {"evaluate": "split", "tune": "trial_no", "recommend": "rank"}[args.job]
-            for row in result.orderBy(order).collect():  # a few rows: splits, the best trial, one list
+            row = result.agg(F.count_distinct("user_id").alias("users"), F.count(F.lit(1)).alias("rows")).first()
+            print(json.dumps(row.asDict()))
+        elif args.job == "recommend":
+            for item, title in title_list(result):
+                print(json.dumps({"item_id": item, "title": title}))
+        else:
+            order = {"evaluate": "split", "tune": "trial_no"}[args.job]
+            for row in result.orderBy(order).collect():  # a few rows: splits or the best trial
                 print(json.dumps(row.asDict()))
     finally:
         ws.drop()

@@ -17,3 +17,17 @@ def checked_int(c: str | Column, name: str | None = None) -> Column:
     return F.when(bad, F.raise_error(F.concat(F.lit(f"{label} out of int range: "), col.cast("string")))).otherwise(
         col
     ).cast("int")
+
+
+def int_key(name: str, strict: bool = False) -> Column:
+    """A text or number column as an int key.
+
+    A whole number outside the int range fails, however many digits it has.
+    Text that is no whole number becomes null, or fails if ``strict``.
+    """
+    text = F.trim(F.col(name).cast("string"))
+    whole = text.rlike(r"^[+-]?[0-9]+$")
+    value = text.try_cast("int")
+    failure = F.raise_error(F.concat(F.lit(f"{name} out of int range or not a whole number: "), text))
+    fails = (text.isNotNull() if strict else whole) & value.isNull()
+    return F.when(fails, failure).when(whole, value).cast("int")

@@ -6,58 +6,45 @@ ALS-WR objective of Spark's ALS):
 
 1. ratings joined with the fixed factors on the fixed key: the factors
    are broadcast when their exact row count fits the budget; otherwise
-   the ratings sit in a persisted layout partitioned by (key, salt), hot
-   keys spread over several salts, and only the factor table is shuffled
-   each half-step (:class:`RatingsLayout`);
+   the ratings sit in a written layout with a hot key's rows spread over
+   several salts, and the join is a shuffle hash join on (key, salt)
+   (:class:`RatingsLayout`);
 2. ``groupBy(key)`` with plain ``SUM`` aggregates of the packed upper
    triangle of ``y y^T`` and of ``r y``: partial aggregation on the map side,
    so a key holding a third of all ratings still sends one row per task;
 3. a batched ``numpy`` solve of the small ``k x k`` systems in
-   ``mapInPandas`` (rows are independent; Arrow batches). A Cholesky
-   solve written as chained column expressions gave the same numbers but
-   took about twice as long per half-step (planning and code generation
-   of the long projection chain);
-4. the new factors written to the workspace (lineage cut every half-step;
-   caching instead would nest each step's adaptive plan in the next one's,
-   and plan size doubles per step).
+   ``mapInPandas`` (rows are independent; Arrow batches);
+4. a sweep's two half-steps are one job whose result, the user factors, is
+   written to the workspace (lineage cut every sweep). Item factors are
+   written only for the sweeps that are asked for.
 
 No step gathers a key's ratings into one task, unlike MLlib's blocked ALS
 whose in-block for a hot item holds all of that item's ratings.
 
-Initial factors come from a hash of ``(id, seed, j)`` (Box-Muller, unit
-length), so they do not depend on partitioning or block counts.
+Initial factors come from the md5 of ``(id, seed, j)`` (uniform, then unit
+length), so they do not depend on partitioning or engine.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkrec.functions.hashing import unit_number
 from sparkrec.plans.joins import bounded_side, fits_broadcast
+from sparkrec.plans.session import at_least
 
-# 53-bit mantissa scale for turning a 64-bit hash into a uniform in (0, 1).
-_MANTISSA = float(1 << 53)
-
-
-def _uniform(id_col, seed: int, j: int, salt: int):
-    h = F.xxhash64(id_col, F.lit(seed), F.lit(j), F.lit(salt))
-    return ((h.bitwiseAND(F.lit((1 << 53) - 1))).cast("double") + F.lit(0.5)) / F.lit(_MANTISSA)
+# The sums of rank 13 and above are more columns than whole-stage code
+# generation takes by default.
+CODEGEN_FIELDS = "spark.sql.codegen.maxFields"
 
 
 def initial_factors(ids: DataFrame, key: str, rank: int, seed: int) -> DataFrame:
-    """``(key, f0..f{rank-1})``: unit-length Gaussian vectors from id hashes."""
-    gauss = [
-        F.sqrt(F.lit(-2.0) * F.log(_uniform(F.col(key), seed, j, 0)))
-        * F.cos(F.lit(2 * math.pi) * _uniform(F.col(key), seed, j, 1))
-        for j in range(rank)
-    ]
-    raw = ids.select(F.col(key), *[g.alias(f"g{j}") for j, g in enumerate(gauss)])
-    norm = F.sqrt(sum((F.col(f"g{j}") * F.col(f"g{j}") for j in range(rank)), F.lit(0.0)))
+    """``(key, f0..f{rank-1})``: unit-length vectors from id hashes."""
+    raw = ids.select(F.col(key), *[unit_number(key, seed, j).alias(f"g{j}") for j in range(rank)])
+    norm = F.sqrt(sum((F.col(f"g{j}") * F.col(f"g{j}") for j in range(1, rank)), F.col("g0") * F.col("g0")))
     return raw.select(F.col(key), *[(F.col(f"g{j}") / norm).alias(f"f{j}") for j in range(rank)])
 
 
@@ -103,27 +90,21 @@ class RatingsLayout:
 
     * Factor table within the broadcast budget (exact row count): the
       ratings stay as they are and the factors are broadcast.
-    * Otherwise the ratings are persisted once, hash-partitioned by
-      ``(fixed key, salt)``. A key with more than ``cap`` ratings is spread
-      over ``ceil(count / cap)`` salts (a hash of the other key), so no
-      group exceeds ``cap`` rows and no partition holds a hot key whole.
-      Each half-step shuffles only the factor table, with one copy per salt
-      of a hot key, into the same partitioning, and joins it without
-      moving or sorting the ratings (shuffled hash join, factors as the
-      build side). ``cap`` defaults to total ratings / partitions; the
-      table of hot keys then has at most ``partitions`` rows, a proven
-      bound, and is broadcast.
+    * Otherwise a key with more than ``cap`` ratings is spread over
+      ``ceil(count / cap)`` salts (a hash of the other key), so no
+      (key, salt) group exceeds ``cap`` rows but for hash imbalance. The
+      salted ratings are written once; each half-step joins them with the
+      factor table, one copy per salt of a hot key, on (key, salt). ``cap``
+      defaults to total ratings / partitions; the table of hot keys then has
+      at most ``partitions`` rows, a proven bound.
     """
 
     def __init__(self, data: DataFrame, key: str, other: str, counts: DataFrame, n_keys: int, rank: int,
                  partitions: int, cap: int | None, ws):
         self.key, self.rank = key, rank
-        self.row_bytes = 8 * rank + 48
-        self.broadcast = fits_broadcast(data.sparkSession, n_keys, self.row_bytes)
-        self.partitions = partitions
-        self.persisted = None
+        self.broadcast = fits_broadcast(data.sparkSession, n_keys, 8 * rank + 48)
+        self.ratings = data
         if self.broadcast:
-            self.ratings = data
             return
         total = counts.agg(F.sum("n")).first()[0] or 0
         cap = cap or max(1, -(-total // partitions))
@@ -134,20 +115,14 @@ class RatingsLayout:
         self.hot = bounded_side(hot, hot.count(), 16)
         salt = F.when(F.col("salts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(F.col(other)), F.col("salts")))
         salted = data.join(self.hot, key, "left").withColumn("salt", salt.cast("int")).drop("salts")
-        self.persisted = salted.repartition(partitions, key, "salt").persist(StorageLevel.MEMORY_AND_DISK)
-        self.ratings = self.persisted
+        self.ratings = ws.materialize(salted, f"salted_{key}")
 
     def join(self, factors: DataFrame) -> DataFrame:
         if self.broadcast:
             return self.ratings.join(F.broadcast(factors), self.key)
         copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - F.lit(1)))
         fixed = factors.join(self.hot, self.key, "left").withColumn("salt", copies).drop("salts")
-        fixed = fixed.repartition(self.partitions, self.key, "salt").hint("shuffle_hash")
-        return self.ratings.join(fixed, [self.key, "salt"]).drop("salt")
-
-    def release(self) -> None:
-        if self.persisted is not None:
-            self.persisted.unpersist()
+        return self.ratings.join(fixed.hint("shuffle_hash"), [self.key, "salt"]).drop("salt")
 
 
 def half_step(layout: RatingsLayout, fixed: DataFrame, solve_key: str, rating: str, rank: int, reg: float) -> DataFrame:
@@ -158,17 +133,8 @@ def half_step(layout: RatingsLayout, fixed: DataFrame, solve_key: str, rating: s
 
 
 def as_feature_table(factors: DataFrame, key: str, rank: int) -> DataFrame:
-    """``(id int, features array<float>)`` like Spark ML's factor tables."""
-    return factors.select(
-        F.col(key).alias("id"), F.array(*[F.col(f"f{j}") for j in range(rank)]).cast("array<float>").alias("features")
-    )
-
-
-def fit_normal_equations(ratings: DataFrame, cfg, ws) -> tuple[DataFrame, DataFrame, int, int]:
-    """Run ``cfg.iterations`` ALS sweeps; returns feature tables and their row counts."""
-    path, n_users, n_items = fit_normal_equations_path(ratings, cfg, ws, [cfg.iterations])
-    uf, itf = path[cfg.iterations]
-    return uf, itf, n_users, n_items
+    """``(id int, features array<double>)``."""
+    return factors.select(F.col(key).alias("id"), F.array(*[F.col(f"f{j}") for j in range(rank)]).alias("features"))
 
 
 def fit_normal_equations_path(
@@ -179,47 +145,33 @@ def fit_normal_equations_path(
     so a grid over iteration counts needs one run per rank and lambda).
 
     Each sweep solves items from users, then users from items (as Spark ML
-    does); every half-step's factors are written to the workspace.
+    does). ``ratings`` should read a written table: every sweep reads it
+    twice. Sweep counts start at 1.
     """
     u, i, r, k = cfg.user, cfg.item, cfg.rating, cfg.rank
+    wanted = sorted(set(sweeps))
+    if not wanted or wanted[0] < 1:
+        raise ValueError(f"sweep counts start at 1: {sweeps!r}")
     spark = ratings.sparkSession
     partitions = cfg.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    data = ws.materialize(ratings.select(u, i, r).dropna(), "als_ratings")
+    data = ratings.select(u, i, r)
     user_counts = ws.materialize(data.groupBy(u).agg(F.count(F.lit(1)).alias("n")), "als_user_counts")
     item_counts = ws.materialize(data.groupBy(i).agg(F.count(F.lit(1)).alias("n")), "als_item_counts")
     n_users, n_items = user_counts.count(), item_counts.count()
     by_user = RatingsLayout(data, u, i, user_counts, n_users, k, partitions, cfg.salt_cap, ws)
     by_item = RatingsLayout(data, i, u, item_counts, n_items, k, partitions, cfg.salt_cap, ws)
-    # A broadcast-mode layout reads the ratings every half-step: keep them
-    # cached then. Salted layouts persist their own copy instead.
-    base = data.persist(StorageLevel.MEMORY_AND_DISK) if (by_user.broadcast or by_item.broadcast) else data
-    for layout in (by_user, by_item):
-        if layout.broadcast:
-            layout.ratings = base
-    wanted = sorted(set(sweeps))
     path: dict[int, tuple[DataFrame, DataFrame]] = {}
-    try:
-        x = ws.materialize(initial_factors(user_counts.select(u), u, k, cfg.seed), "als_x0")
-        stale = [] if 0 in wanted else [ws.last_path]
-        for sweep in range(1, max(max(wanted), 1) + 1):
-            y = ws.materialize(half_step(by_user, x, i, r, k, cfg.reg), f"als_y{sweep}")
-            y_path = ws.last_path
-            x_next = ws.materialize(half_step(by_item, y, u, r, k, cfg.reg), f"als_x{sweep}")
-            if 0 in wanted and sweep == 1:
-                path[0] = (as_feature_table(x, u, k), as_feature_table(y, i, k))
-            x = x_next
-            # Earlier sweeps' tables are no longer read (each step is its own
-            # written table): delete them unless they are a requested result.
-            for old in stale:
-                ws.remove(old)
-            stale = []
+    with at_least(spark, CODEGEN_FIELDS, k * (k + 1) // 2 + 3 * k + 16):
+        x, stale = ws.materialize(initial_factors(user_counts.select(u), u, k, cfg.seed), "als_x0"), ws.last_path
+        for sweep in range(1, wanted[-1] + 1):
+            y = half_step(by_user, x, i, r, k, cfg.reg)
+            if sweep in wanted:
+                y = ws.materialize(y, f"als_y{sweep}")
+            x = ws.materialize(half_step(by_item, y, u, r, k, cfg.reg), f"als_x{sweep}")
+            written = ws.last_path
+            if stale:  # the sweep before is no longer read
+                ws.remove(stale)
+            stale = None if sweep in wanted else written
             if sweep in wanted:
                 path[sweep] = (as_feature_table(x, u, k), as_feature_table(y, i, k))
-            else:
-                keep_y = 0 in wanted and sweep == 1  # snapshot 0 pairs x0 with y1
-                stale = [ws.last_path] + ([] if keep_y else [y_path])
-    finally:
-        by_user.release()
-        by_item.release()
-        base.unpersist()
     return path, n_users, n_items

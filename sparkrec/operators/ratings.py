@@ -81,15 +81,16 @@ def derive_ratings(
     With a ``workspace`` the input is needed twice (averages, then the rows
     they are joined onto), so its four columns are written there once: an
     expensive source (a join, a CSV parse) runs a single time, and both
-    passes become narrow Parquet scans (two and four columns). The per-item
+    passes become narrow Parquet scans (two and four columns). The rows are
+    spread over ``spark.sql.shuffle.partitions`` files. The per-item
     averages are materialized and counted as well, which fixes the size
     check of the join on exact numbers.
     """
     pruned = interactions.select(user, item, is_recommended, hours)
     rows = None
     if workspace is not None:
-        parallelism = interactions.sparkSession.sparkContext.defaultParallelism
-        pruned = workspace.materialize(pruned, "interactions", min_partitions=parallelism)
+        partitions = int(interactions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        pruned = workspace.materialize(pruned, "interactions", partitions=partitions)
     averages = item_average(pruned, item, hours)
     if workspace is not None:
         averages = workspace.materialize(averages, "item_average")

@@ -20,7 +20,17 @@ from pyspark.sql import functions as F
 
 from sparkrec.plans.joins import bounded_side
 
-TITLE_ROW_BYTES = 96
+TOP_ROW_BYTES = 96
+
+
+def side_bytes(titles_rows: int, titles_bytes: int) -> int:
+    """Bytes a row of a titles side, from its measured text bytes."""
+    return 64 + -(-titles_bytes // max(1, titles_rows))
+
+
+def one_score_per_pair(predictions: DataFrame, user: str = "user_id", item: str = "item_id", score: str = "prediction") -> DataFrame:
+    """One row per (user, item): its highest score."""
+    return predictions.groupBy(user, item).agg(F.max(score).alias(score))
 
 
 def _order(score: str, item: str):
@@ -36,8 +46,8 @@ def top_k_for_user(
     score: str = "prediction",
 ) -> DataFrame:
     """``(user, rank, item, score)`` for one user, at most ``k`` rows; copies
-    of a pair count once (de-duplicated among that user's rows only)."""
-    mine = predictions.filter(F.col(user) == F.lit(user_id)).dropDuplicates([user, item])
+    of a pair count once, with their highest score (among that user's rows only)."""
+    mine = one_score_per_pair(predictions.filter(F.col(user) == F.lit(user_id)), user, item, score)
     one = mine.orderBy(*_order(score, item)).limit(k)
     w = Window.partitionBy(user).orderBy(*_order(score, item))
     return one.select(F.col(user), F.row_number().over(w).alias("rank"), F.col(item), F.col(score))
@@ -50,17 +60,21 @@ def top_k(
     item: str = "item_id",
     score: str = "prediction",
     users: DataFrame | None = None,
+    from_model: bool = False,
 ) -> DataFrame:
     """``(user, rank, item, score)`` with ``rank <= k`` for every user (or for
     the users in ``users``, via a semi join that keeps no duplicate rows).
 
-    Copies of one (user, item) pair (one score per pair) count once:
-    ``dense_rank`` over ``(score desc, item)`` gives them the same rank, so
-    the input need not be de-duplicated first (that would be a shuffle of
-    every pair); only the at most ``k`` ranks per user are de-duplicated.
+    Copies of one (user, item) pair count once, with their highest score, as
+    in :func:`top_k_for_user`. Scores that a model has computed are a function
+    of the pair; with ``from_model`` that contract saves the aggregate over
+    all pairs: ``dense_rank`` over ``(score desc, item)`` gives copies the same
+    rank, and only the at most ``k`` ranks per user are de-duplicated.
     """
     if users is not None:
         predictions = predictions.join(users.select(user), user, "left_semi")
+    if not from_model:
+        predictions = one_score_per_pair(predictions, user, item, score)
     w = Window.partitionBy(user).orderBy(*_order(score, item))
     ranked = predictions.select(F.col(user), F.col(item), F.col(score), F.dense_rank().over(w).alias("rank"))
     top = ranked.filter(F.col("rank") <= k).dropDuplicates([user, "rank"])
@@ -74,18 +88,20 @@ def with_titles(
     title: str = "title",
     top_rows: int | None = None,
     titles_rows: int | None = None,
+    titles_bytes: int = 0,
 ) -> DataFrame:
     """Inner join of a top-k table with ``(item, title)``.
 
     The side that is proven small is broadcast: the top-k rows of one user
-    (``top_rows``, bounded by k) or a titles table of known size
-    (``titles_rows``). Otherwise it is a shuffle join (AQE splits a hot item).
+    (``top_rows``, bounded by k) or a titles table of known size (its
+    ``titles_rows`` and the bytes of their texts). Otherwise it is a shuffle
+    join (AQE splits a hot item).
     """
     t = titles.select(item, title)
     if top_rows is not None:
-        return bounded_side(top, top_rows, TITLE_ROW_BYTES).join(t, item)
+        return bounded_side(top, top_rows, TOP_ROW_BYTES).join(t, item)
     if titles_rows is not None:
-        return top.join(bounded_side(t, titles_rows, TITLE_ROW_BYTES), item)
+        return top.join(bounded_side(t, titles_rows, side_bytes(titles_rows, titles_bytes)), item)
     return top.join(t, item)
 
 
@@ -98,6 +114,8 @@ def ranked_titles(
     item: str = "item_id",
     score: str = "prediction",
     titles_rows: int | None = None,
+    titles_bytes: int = 0,
+    from_model: bool = False,
 ) -> DataFrame:
     """Top ``k`` of scored pairs per user (or for ``user_id``) with titles:
     ``(user, rank, item, title, score)``."""
@@ -105,8 +123,8 @@ def ranked_titles(
     if user_id is not None:
         top = top_k_for_user(scored, user_id, k, user, item, score)
         return with_titles(top, titles, item, top_rows=k).select(*cols)
-    top = top_k(scored, k, user, item, score)
-    return with_titles(top, titles, item, titles_rows=titles_rows).select(*cols)
+    top = top_k(scored, k, user, item, score, from_model=from_model)
+    return with_titles(top, titles, item, titles_rows=titles_rows, titles_bytes=titles_bytes).select(*cols)
 
 
 def recommend(
@@ -119,6 +137,7 @@ def recommend(
     item: str = "item_id",
     titles_rows: int | None = None,
     users: DataFrame | None = None,
+    titles_bytes: int = 0,
 ) -> DataFrame:
     """Score the candidate pairs, keep each user's top ``k``, attach titles.
 
@@ -133,7 +152,14 @@ def recommend(
         pairs = pairs.filter(F.col(user) == F.lit(user_id))
     elif users is not None:
         pairs = pairs.join(users.select(user), user, "left_semi")
-    return ranked_titles(model.transform(pairs), titles, k, user_id, user, item, titles_rows=titles_rows)
+    return ranked_titles(model.transform(pairs), titles, k, user_id, user, item, titles_rows=titles_rows,
+                         titles_bytes=titles_bytes, from_model=True)
+
+
+def measured(titles: DataFrame, title: str = "title") -> tuple[int, int]:
+    """``(rows, bytes of the texts)`` of a titles table."""
+    row = titles.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(title)), F.lit(0)).alias("b")).first()
+    return row["n"], row["b"]
 
 
 def candidate_pairs(candidates: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:

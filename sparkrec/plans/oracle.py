@@ -7,11 +7,11 @@ values are rounded to 6 digits on both sides; ``ROW_NUMBER`` is cast to INT.
 
 from __future__ import annotations
 
-from sparkrec.functions.hashing import pair_bucket_sql, split_label_sql
+from sparkrec.functions.hashing import pair_bucket_sql, split_label_sql, unit_number_sql
 from sparkrec.functions.rating import rating_sql
 from sparkrec.operators.properties import PROPERTY_NAMES
 from sparkrec.operators.split import SPLIT_NAMES, SPLIT_WEIGHTS
-from sparkrec.plans.queries import DIGITS, GRID_REGS, ONE_USER, TOP_K
+from sparkrec.plans.queries import DIGITS, EDGE_EVERY, GRID_REGS, ONE_USER, SMALL_ALS, SMALL_GRID_ITERATIONS, SMALL_GRID_REGS, TOP_K
 
 INTER = (
     "inter AS (SELECT CAST(o_custkey AS INT) AS user_id, CAST(l_partkey AS INT) AS item_id, "
@@ -73,6 +73,61 @@ GRID = BASE + [SPLIT] + _item_mean("(SELECT * FROM sp WHERE split = 'train')") +
 
 R = f"round(prediction, {DIGITS}) AS prediction"
 
+
+# Two ALS sweeps at rank 2: sums per key, then Cramer's rule. ``source`` is the training set.
+def _als2(source: str, reg: float, sweeps: int, tag: str = "") -> list[str]:
+    x = f"x0{tag}"
+    g = [unit_number_sql("user_id", SMALL_ALS.seed, j) for j in range(2)]
+    ctes = [
+        f"g{tag} AS (SELECT user_id AS k, {g[0]} AS a, {g[1]} AS b FROM (SELECT DISTINCT user_id FROM {source}))",
+        f"{x} AS (SELECT k, a / sqrt(a * a + b * b) AS f0, b / sqrt(a * a + b * b) AS f1 FROM g{tag})",
+    ]
+    for sweep in range(1, sweeps + 1):
+        for name, own, other in ((f"y{sweep}{tag}", "item_id", "user_id"), (f"x{sweep}{tag}", "user_id", "item_id")):
+            ctes.append(
+                f"{name}_s AS (SELECT r.{own} AS k, sum(f0 * f0) + {reg!r} * count(*) AS a, sum(f0 * f1) AS b, "
+                f"sum(f1 * f1) + {reg!r} * count(*) AS c, sum(CAST(rating AS DOUBLE) * f0) AS p, sum(CAST(rating AS DOUBLE) * f1) AS q "
+                f"FROM {source} r JOIN {x} f ON r.{other} = f.k GROUP BY r.{own})"
+            )
+            ctes.append(f"{name} AS (SELECT k, (p * c - q * b) / (a * c - b * b) AS f0, (a * q - b * p) / (a * c - b * b) AS f1 FROM {name}_s)")
+            x = name
+    return ctes
+
+
+def _als2_scored(pairs: str, sweeps: int, tag: str = "") -> str:
+    return (
+        f"SELECT r.*, x.f0 * y.f0 + x.f1 * y.f1 AS prediction FROM {pairs} r "
+        f"JOIN x{sweeps}{tag} x ON r.user_id = x.k JOIN y{sweeps}{tag} y ON r.item_id = y.k"
+    )
+
+
+N_SWEEPS = SMALL_ALS.iterations
+ALS2 = BASE + _als2("rated", SMALL_ALS.reg, N_SWEEPS)
+TRAIN = [SPLIT, "train AS (SELECT * FROM sp WHERE split = 'train')"]
+_small_trials = [(n, reg, it) for n, (reg, it) in enumerate((r, i) for r in SMALL_GRID_REGS for i in SMALL_GRID_ITERATIONS)]
+ALS2_GRID = BASE + TRAIN + [c for n, reg, it in _small_trials for c in _als2("train", reg, it, f"_t{n}")] + [
+    "ev AS (" + " UNION ALL ".join(
+        f"SELECT {n} AS trial_no, CAST({reg!r} AS DOUBLE) AS reg, {it} AS iterations, split, sqrt(avg(power(rating - prediction, 2))) AS e "
+        f"FROM ({_als2_scored('sp', it, f'_t{n}')}) WHERE split <> 'train' GROUP BY split" for n, reg, it in _small_trials) + ")",
+    "v AS (SELECT trial_no, reg, iterations, e AS validation_rmse FROM ev WHERE split = 'validation')",
+    "b AS (SELECT trial_no FROM v ORDER BY validation_rmse, trial_no LIMIT 1)",
+]
+# What SQL can tell of a full run: a held-out pair is scored if its user and item are in the training set.
+KNOWN = BASE + TRAIN + [
+    "known AS (SELECT * FROM sp WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train))"
+]
+LISTED = BASE + ["pairs AS (SELECT user_id, count(DISTINCT item_id) AS c FROM rated GROUP BY user_id)"]
+FLAG_EVERY, NAN_EVERY, NULL_EVERY = EDGE_EVERY
+EDGES = [
+    "inter AS (SELECT l_orderkey AS order_id, CAST(o_custkey AS INT) AS user_id, CAST(l_partkey AS INT) AS item_id, "
+    f"CASE WHEN l_partkey % {NAN_EVERY} = 1 THEN CAST('NaN' AS FLOAT) WHEN (l_orderkey + l_partkey) % {NULL_EVERY} = 2 THEN NULL "
+    f"ELSE CAST(l_quantity AS FLOAT) END AS hours, CASE WHEN l_orderkey % {FLAG_EVERY} = 0 THEN NULL ELSE l_returnflag <> 'R' END AS is_recommended "
+    "FROM lineitem JOIN orders ON l_orderkey = o_orderkey)",
+    AVGH,
+    "joined AS (SELECT i.*, a.avg_hours FROM inter i JOIN avgh a ON i.item_id = a.item_id)",
+    RULED,
+]
+
 ORACLE: dict[str, str] = {
     "interactions": _with(INTER) + "SELECT * FROM inter",
     "interactions_csv": _with(INTER) + "SELECT * FROM inter",
@@ -106,10 +161,33 @@ ORACLE: dict[str, str] = {
     + f"SELECT r.user_id, r.rank, r.item_id, p.p_name AS title, round(r.prediction, {DIGITS}) AS prediction "
     f"FROM ranked r JOIN part p ON r.item_id = CAST(p.p_partkey AS INT) WHERE r.rank <= {TOP_K} AND r.user_id = {ONE_USER}",
     "predictions_csv": _with(*BASE, *_item_mean("rated"))
-    + "SELECT r.user_id, r.item_id, CAST(im.s / CAST(im.n AS DOUBLE) AS FLOAT) AS prediction "
+    + "SELECT r.user_id, r.item_id AS app_id, CAST(im.s / CAST(im.n AS DOUBLE) AS FLOAT) AS rating_points "
+    "FROM rated r JOIN im ON r.item_id = im.item_id",
+    "eval_predictions": _with(*BASE, *_item_mean("rated"))
+    + "SELECT r.user_id, r.item_id, r.rating, CAST(im.s / CAST(im.n AS DOUBLE) AS FLOAT) AS prediction "
     "FROM rated r JOIN im ON r.item_id = im.item_id",
+    "rating_rule_edges": _with(*EDGES) + "SELECT order_id, user_id, item_id, is_recommended, CAST(rule AS INT) AS rating FROM ruled",
+    "als2_factors": _with(*ALS2)
+    + " UNION ALL ".join(
+        f"SELECT '{side}' AS side, k AS id, round(f0, {DIGITS}) AS f0, round(f1, {DIGITS}) AS f1 FROM {name}{N_SWEEPS}"
+        for side, name in (("user", "x"), ("item", "y"))),
+    "als2_scores": _with(*ALS2) + f"SELECT user_id, item_id, rating, {R} FROM ({_als2_scored('rated', N_SWEEPS)})",
+    "als2_eval": _with(*BASE, *TRAIN, *_als2("train", SMALL_ALS.reg, N_SWEEPS))
+    + f"SELECT split, round(sqrt(avg(power(rating - prediction, 2))), {DIGITS}) AS rmse, count(*) AS n "
+    f"FROM ({_als2_scored('sp', N_SWEEPS)}) GROUP BY split",
+    "als2_lists": _with(*ALS2, "pairs AS (SELECT DISTINCT user_id, item_id FROM rated)")
+    + f"SELECT r.user_id, CAST(r.rank AS INT) AS rank, r.item_id, p.p_name AS title, round(r.prediction, {DIGITS}) AS prediction "
+    "FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY prediction DESC, item_id) AS rank "
+    f"FROM ({_als2_scored('pairs', N_SWEEPS)})) r JOIN part p ON r.item_id = p.p_partkey WHERE r.rank <= {TOP_K}",
+    "als2_grid": _with(*ALS2_GRID)
+    + f"SELECT v.trial_no, {SMALL_ALS.rank} AS rank, v.reg, v.iterations, round(v.validation_rmse, {DIGITS}) AS validation_rmse, "
+    f"CASE WHEN v.trial_no = b.trial_no THEN round(t.e, {DIGITS}) END AS test_rmse "
+    "FROM v JOIN ev t ON v.trial_no = t.trial_no AND t.split = 'test' CROSS JOIN b",
+    "als_scored_pairs": _with(*BASE) + "SELECT user_id, item_id, count(*) AS n FROM rated GROUP BY user_id, item_id",
+    "als_eval_rows": _with(*KNOWN) + "SELECT split, count(*) AS n FROM known GROUP BY split",
+    "als_list_lengths": _with(*LISTED)
+    + f"SELECT user_id, least(c, {TOP_K}) AS n, CAST(least(c, {TOP_K}) AS INT) AS last_rank FROM pairs",
     "als_properties": "SELECT * FROM (VALUES "
     + ", ".join(f"('{n}', true)" for n in PROPERTY_NAMES)
     + ") AS t(property, holds)",
 }
-ORACLE["als_ne_properties"] = ORACLE["als_properties"]

@@ -1,10 +1,13 @@
 """Registered queries: one per operator group, each over the whole tables.
 
 Every callable takes ``(spark, sf_dir)`` and returns a DataFrame whose
-columns match the SQL of :mod:`sparkrec.plans.oracle`. Queries that need a
-deterministic score use the item-mean predictor; the ALS queries have no SQL
-counterpart (the solver has none) and are checked by row count and by the
-property table.
+columns match the SQL of :mod:`sparkrec.plans.oracle`. The ALS solver is
+compared by value over two sweeps at rank 2, which SQL can say in full
+(``als2_*``); full runs are compared by what SQL can tell of them (pairs
+scored, rows per split, list lengths, the trials of the grid) and by a
+property table. Other queries that need a score use the item-mean predictor.
+
+A query's stages stay until the process ends: its rows are read from them.
 """
 
 from __future__ import annotations
@@ -17,9 +20,9 @@ from pyspark.sql import functions as F
 from sparkrec.functions.rating import rating_expr
 from sparkrec.operators import model as als
 from sparkrec.operators.baseline import ItemMeanConfig, ItemMeanEstimator
-from sparkrec.operators.evaluate import rmse, rmse_by_split
+from sparkrec.operators.evaluate import pair_predictions, rmse, rmse_by_split
 from sparkrec.operators.ratings import derive_ratings, item_average, with_item_average
-from sparkrec.operators.recommend import ranked_titles, top_k, top_k_for_user
+from sparkrec.operators.recommend import measured, ranked_titles, top_k, top_k_for_user
 from sparkrec.operators.split import assign_split, split_frames
 from sparkrec.operators.tune import best_trial, grid, run_grid
 from sparkrec.plans import jobs
@@ -31,14 +34,17 @@ TOP_K = 10
 ONE_USER = 7
 GRID_REGS = (1.0, 5.0, 25.0)
 REFERENCE_ALS = als.AlsConfig(rank=4, iterations=30, reg=0.3, seed=37)
-SKEW_SAFE_ALS = REFERENCE_ALS.with_params(solver="normal_equations")
-ALS_GRID_REGS = (0.1, 0.2, 0.3)
-ALS_GRID_ITERATIONS = (15, 30)
+SMALL_ALS = REFERENCE_ALS.with_params(rank=2, iterations=2)
+SMALL_GRID_REGS = (0.1, 0.3)
+SMALL_GRID_ITERATIONS = (1, 2)
+GRID_THREADS = 4
+# One row in so many has a null flag, NaN hours or null hours in the edge query.
+EDGE_EVERY = (97, 991, 89)
 DIGITS = 6
 
 
 def _ws(spark: SparkSession) -> Workspace:
-    return Workspace(spark, "query")
+    return Workspace(spark, "query").drop_at_exit()
 
 
 def q_interactions(spark, d):
@@ -70,17 +76,33 @@ def q_item_avg_hours(spark, d):
     return item_average(tables.interactions(spark, d))
 
 
+def _averaged(inter: DataFrame, ws: Workspace) -> DataFrame:
+    """Interactions with their item's average: written, counted averages, so that a hot item's join is split."""
+    inter = ws.materialize(inter, "interactions", partitions=int(inter.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    averages = ws.materialize(item_average(inter), "item_average")
+    return with_item_average(inter, averages, averages_rows=averages.count())
+
+
 def q_with_item_avg(spark, d):
-    inter = tables.interactions(spark, d)
-    return with_item_average(inter, item_average(inter))
+    return _averaged(tables.interactions(spark, d), _ws(spark))
 
 
 def q_rating_rule(spark, d):
-    inter = tables.interactions(spark, d)
-    joined = with_item_average(inter, item_average(inter))
+    joined = _averaged(tables.interactions(spark, d), _ws(spark))
     return joined.select("user_id", "item_id", "hours", "is_recommended", "avg_hours", rating_expr().alias("rating"))
 
 
+def q_rating_rule_edges(spark, d):
+    """The rule with null flags and null or NaN hours put in by order and part keys."""
+    flag, nan, null = EDGE_EVERY
+    key, item = F.col("order_id"), F.col("item_id")
+    hours = F.when(item % nan == 1, F.lit(float("nan"))).when((key + item) % null == 2, F.lit(None)).otherwise(F.col("hours"))
+    inter = tables.interactions(spark, d, order_id=True)
+    inter = inter.withColumn("is_recommended", F.when(key % flag == 0, F.lit(None)).otherwise(F.col("is_recommended")))
+    inter = inter.withColumn("hours", hours.cast("float"))
+    return _averaged(inter, _ws(spark)).select("order_id", "user_id", "item_id", "is_recommended", rating_expr().alias("rating"))
+
+
 def _ratings(spark, d, ws=None) -> DataFrame:
     return derive_ratings(tables.interactions(spark, d), ws if ws is not None else _ws(spark))
 
@@ -170,13 +192,14 @@ def q_top_k_user(spark, d):
 
 def q_top_k_all(spark, d):
     scored, _ = _scored_rated_pairs(spark, d)
-    return top_k(scored, TOP_K).select("user_id", "rank", "item_id", F.round("prediction", DIGITS).alias("prediction"))
+    return top_k(scored, TOP_K, from_model=True).select("user_id", "rank", "item_id", F.round("prediction", DIGITS).alias("prediction"))
 
 
 def q_top_k_titles(spark, d):
     scored, ws = _scored_rated_pairs(spark, d)
     titles = ws.materialize(tables.titles(spark, d), "titles")
-    out = ranked_titles(scored, titles, TOP_K, titles_rows=titles.count())
+    rows, size = measured(titles)
+    out = ranked_titles(scored, titles, TOP_K, titles_rows=rows, titles_bytes=size, from_model=True)
     return out.select("user_id", "rank", "item_id", "title", F.round("prediction", DIGITS).alias("prediction"))
 
 
@@ -190,7 +213,16 @@ def q_predictions_csv(spark, d):
     scored, ws = _scored_rated_pairs(spark, d)
     path = ws.location("predictions_csv")
     io.write_predictions(scored, path, "csv")
-    return io.read_predictions(spark, path, "csv")
+    return spark.read.option("header", True).schema("user_id int, app_id int, rating_points float").csv(path)
+
+
+def q_eval_predictions(spark, d):
+    """Actual ratings joined on the pair with the scores of a written predictions file."""
+    ws = _ws(spark)
+    ratings = ws.materialize(_ratings(spark, d, ws), "ratings")
+    path = ws.location("predictions")
+    io.write_predictions(_item_mean(ratings, ws).transform(ratings.select("user_id", "item_id")), path)
+    return pair_predictions(ratings, io.read_predictions(spark, path))
 
 
 # ---------------------------------------------------------------- ALS queries
@@ -201,15 +233,59 @@ def _als_ratings(spark, d) -> tuple[DataFrame, Workspace]:
     return ws.materialize(_ratings(spark, d, ws), "ratings"), ws
 
 
+def _rounded(name: str):
+    return F.round(name, DIGITS).alias(name)
+
+
+def q_als2_factors(spark, d):
+    ratings, ws = _als_ratings(spark, d)
+    model = als.fit(ratings, SMALL_ALS, ws)
+    parts = [t.select(F.lit(side).alias("side"), "id", *[F.round(F.col("features")[j], DIGITS).alias(f"f{j}") for j in range(2)])
+             for side, t in (("user", model.userFactors), ("item", model.itemFactors))]
+    return parts[0].union(parts[1])
+
+
+def q_als2_scores(spark, d):
+    ratings, ws = _als_ratings(spark, d)
+    return als.score(als.fit(ratings, SMALL_ALS, ws), ratings).withColumn("prediction", _rounded("prediction"))
+
+
+def q_als2_eval(spark, d):
+    return jobs.evaluate_job(tables.interactions(spark, d), _ws(spark), SMALL_ALS).select("split", _rounded("rmse"), "n")
+
+
+def q_als2_lists(spark, d):
+    out = jobs.recommend_job(tables.interactions(spark, d), tables.titles(spark, d), _ws(spark), SMALL_ALS, TOP_K)
+    return out.withColumn("prediction", _rounded("prediction"))
+
+
+def _small_grid(spark, d):
+    return jobs.tune_job(
+        spark, tables.interactions(spark, d), _ws(spark), SMALL_ALS,
+        ranks=(SMALL_ALS.rank,), regs=SMALL_GRID_REGS, iterations=SMALL_GRID_ITERATIONS,
+    )
+
+
+def q_als2_grid(spark, d):
+    return _rounded_trials(_small_grid(spark, d)[0])
+
+
 def q_als_scores(spark, d):
-    ratings, _ = _als_ratings(spark, d)
-    model = als.fit(ratings, REFERENCE_ALS)
-    return als.score(model, ratings)
+    ratings, ws = _als_ratings(spark, d)
+    return als.score(als.fit(ratings, REFERENCE_ALS, ws), ratings)
+
+
+def q_als_scored_pairs(spark, d):
+    """How often each pair is scored by a full run."""
+    return q_als_scores(spark, d).where("prediction is not null").groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_als_eval(spark, d):
-    ws = _ws(spark)
-    return jobs.evaluate_job(tables.interactions(spark, d), ws, REFERENCE_ALS)
+    return jobs.evaluate_job(tables.interactions(spark, d), _ws(spark), REFERENCE_ALS)
+
+
+def q_als_eval_rows(spark, d):
+    return q_als_eval(spark, d).where("rmse > 0").select("split", "n")
 
 
 def q_als_recommend(spark, d):
@@ -217,6 +293,11 @@ def q_als_recommend(spark, d):
     return jobs.recommend_job(tables.interactions(spark, d), tables.titles(spark, d), ws, REFERENCE_ALS, TOP_K)
 
 
+def q_als_list_lengths(spark, d):
+    """Rows and ranks of every user's list of a full run."""
+    return q_als_recommend(spark, d).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("last_rank"))
+
+
 def q_als_recommend_user(spark, d):
     ws = _ws(spark)
     return jobs.recommend_job(
@@ -226,12 +307,8 @@ def q_als_recommend_user(spark, d):
 
 
 def q_als_grid(spark, d):
-    ws = _ws(spark)
-    trials, _ = jobs.tune_job(
-        spark, tables.interactions(spark, d), ws, REFERENCE_ALS,
-        ranks=(REFERENCE_ALS.rank,), regs=ALS_GRID_REGS, iterations=ALS_GRID_ITERATIONS,
-    )
-    return trials
+    """All trials of the tuning job."""
+    return jobs.tune_job(spark, tables.interactions(spark, d), _ws(spark), REFERENCE_ALS, parallelism=GRID_THREADS)[0]
 
 
 def q_als_properties(spark, d):
@@ -241,18 +318,6 @@ def q_als_properties(spark, d):
     return als_properties(ratings, REFERENCE_ALS, ws)
 
 
-def q_als_ne_properties(spark, d):
-    from sparkrec.operators.properties import als_properties
-
-    ratings, ws = _als_ratings(spark, d)
-    return als_properties(ratings, SKEW_SAFE_ALS, ws)
-
-
-def q_als_ne_eval(spark, d):
-    ws = _ws(spark)
-    return jobs.evaluate_job(tables.interactions(spark, d), ws, SKEW_SAFE_ALS)
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interactions": q_interactions,
     "interactions_csv": q_interactions_csv,
@@ -274,12 +339,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_k_titles": q_top_k_titles,
     "top_k_titles_user": q_top_k_titles_user,
     "predictions_csv": q_predictions_csv,
+    "rating_rule_edges": q_rating_rule_edges,
+    "eval_predictions": q_eval_predictions,
+    "als2_factors": q_als2_factors,
+    "als2_scores": q_als2_scores,
+    "als2_eval": q_als2_eval,
+    "als2_lists": q_als2_lists,
+    "als2_grid": q_als2_grid,
     "als_properties": q_als_properties,
     "als_scores": q_als_scores,
+    "als_scored_pairs": q_als_scored_pairs,
     "als_eval": q_als_eval,
+    "als_eval_rows": q_als_eval_rows,
     "als_recommend": q_als_recommend,
+    "als_list_lengths": q_als_list_lengths,
     "als_recommend_user": q_als_recommend_user,
     "als_grid": q_als_grid,
-    "als_ne_properties": q_als_ne_properties,
-    "als_ne_eval": q_als_ne_eval,
 }

@@ -10,8 +10,11 @@ master is local (tests, benchmarks).
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +49,27 @@ def local_session(cores: int = 8, app_name: str = "sparkrec", **conf: str) -> Sp
     return spark
 
 
+_SETTING_LOCK = threading.Lock()
+_SETTING_USERS: dict[str, list] = {}
+
+
+@contextmanager
+def at_least(spark: SparkSession, key: str, value: int):
+    """The session setting ``key`` is ``value`` or more meanwhile (nested and concurrent use is fine)."""
+    with _SETTING_LOCK:
+        users = _SETTING_USERS.setdefault(key, [0, spark.conf.get(key)])
+        users[0] += 1
+        if int(spark.conf.get(key)) < value:
+            spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        with _SETTING_LOCK:
+            users[0] -= 1
+            if not users[0]:
+                spark.conf.set(key, _SETTING_USERS.pop(key)[1])
+
+
 def shared_checkpoint_dir(spark: SparkSession) -> str:
     """The SparkContext's checkpoint folder, set from ``spark.checkpoint.dir``.
 
@@ -90,31 +114,40 @@ class Workspace:
         df: DataFrame,
         name: str,
         partition_by: list[str] | None = None,
-        min_partitions: int | None = None,
+        partitions: int | None = None,
     ) -> DataFrame:
         """Write ``df`` as Parquet and return it read back (lineage cut).
 
         Every call gets a fresh path, so a stage is never overwritten while a
         lazy DataFrame built on an earlier one may still read it.
 
-        With ``min_partitions``, a table that reads back as fewer splits
-        than that (a few unsplittable files, e.g. from a single-file input)
-        is rewritten once, spread round-robin, so later stages run in
-        parallel. A table large enough to have that many splits is left
-        as it is (no extra shuffle). Only the written table is inspected:
-        its partitions are file splits, so counting them runs no job,
-        whereas asking an arbitrary plan would execute its shuffle stages.
+        With ``partitions`` the rows are spread round-robin over that many
+        files before the write, so later stages run in parallel whatever
+        the input's file layout.
         """
         path = self.location(f"{name}-{uuid.uuid4().hex[:8]}")
         self.last_path = path
-        writer = df.write.mode("overwrite")
+        writer = (df.repartition(partitions) if partitions else df).write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        out = self.spark.read.parquet(path)
-        if min_partitions and not partition_by and out.rdd.getNumPartitions() < min_partitions:
-            return self.materialize(out.repartition(min_partitions), f"{name}-spread")
-        return out
+        return self.spark.read.parquet(path)
+
+    def tables(self) -> list[str]:
+        """Names of the stages that are written and not yet removed."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return sorted(f.getPath().getName() for f in files.listStatus(path)) if files.exists(path) else []
+
+    def drop_at_exit(self) -> "Workspace":
+        """Delete the folder when this process ends (its session must still run)."""
+        atexit.register(self._drop_if_running)
+        return self
+
+    def _drop_if_running(self) -> None:
+        if self.spark.sparkContext._jsc is not None:
+            self.drop()
 
     def remove(self, path: str) -> None:
         """Delete one stage written by :meth:`materialize` (no longer read)."""

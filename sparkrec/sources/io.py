@@ -11,31 +11,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from sparkrec.functions.keys import checked_int
-from sparkrec.sources.schemas import INTERACTIONS_CSV, PREDICTIONS, TITLES
+from sparkrec.functions.keys import int_key
+from sparkrec.sources.schemas import INTERACTIONS_CSV, PREDICTIONS, PREDICTIONS_FILE
 
 
 def read_interactions_csv(spark: SparkSession, path: str, item_col: str = "app_id") -> DataFrame:
     """The review log: pruned to user, item, hours and flag, renamed to ours.
 
-    Column pruning reaches the CSV scan (``ReadSchema`` has four columns).
+    Column pruning reaches the CSV scan (``ReadSchema`` has four columns). The
+    keys are read as text: one beyond int fails, one that is no whole number
+    becomes null (:func:`unparsable_keys` counts those).
     """
-    raw = (
-        spark.read.schema(INTERACTIONS_CSV)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    raw = _review_log(spark, path)
     return raw.select(
-        F.col("user_id"),
-        F.col(item_col).alias("item_id"),
+        int_key("user_id").alias("user_id"),
+        int_key(item_col).alias("item_id"),
         F.col("hours"),
         F.col("is_recommended"),
     )
 
 
+def unparsable_keys(spark: SparkSession, path: str, item_col: str = "app_id") -> DataFrame:
+    """One row: how many user and item keys of the review log are text but no whole number."""
+    bad = lambda c: F.count_if(F.col(c).isNotNull() & int_key(c).isNull())
+    return _review_log(spark, path).agg(bad("user_id").alias("user_id"), bad(item_col).alias("item_id"))
+
+
+def _review_log(spark: SparkSession, path: str) -> DataFrame:
+    keys = ("user_id", "app_id")
+    schema = StructType([StructField(f.name, StringType() if f.name in keys else f.dataType, True) for f in INTERACTIONS_CSV.fields])
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    return reader.option("mode", "PERMISSIVE").csv(path)
+
+
 def read_titles_csv(
     spark: SparkSession,
     path: str,
@@ -53,8 +63,12 @@ def read_titles_csv(
     """
     reader = spark.read.option("header", True)
     raw = reader.option("inferSchema", True).csv(path) if infer else reader.csv(path)
-    key = F.col(item_col) if infer else F.col(item_col).try_cast("long")
-    return raw.select(checked_int(key, item_col).alias("item_id"), F.col(title_col).cast("string").alias("title"))
+    return raw.select(int_key(item_col).alias("item_id"), F.col(title_col).cast("string").alias("title"))
+
+
+def read_users_csv(spark: SparkSession, path: str) -> DataFrame:
+    """``user_id int`` of a CSV with that column; text that is no int fails."""
+    return spark.read.option("header", True).csv(path).select(int_key("user_id", strict=True).alias("user_id"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -63,8 +77,8 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_predictions(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Predictions under the fixed ``PREDICTIONS`` schema (score narrowed to float)."""
-    out = conform(df, PREDICTIONS)
+    """Predictions with the file's column names and types (score narrowed to float)."""
+    out = conform(df, PREDICTIONS).withColumnsRenamed(PREDICTIONS_FILE)
     if fmt == "csv":
         write_csv(out, path)
     elif fmt == "parquet":
@@ -74,17 +88,18 @@ def write_predictions(df: DataFrame, path: str, fmt: str = "csv") -> None:
 
 
 def read_predictions(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    """A predictions file under the library's column names."""
+    in_file = StructType([StructField(PREDICTIONS_FILE[f.name], f.dataType, True) for f in PREDICTIONS.fields])
     if fmt == "csv":
-        return spark.read.schema(PREDICTIONS).option("header", True).option("enforceSchema", False).csv(path)
-    if fmt == "parquet":
-        return conform(spark.read.parquet(path), PREDICTIONS)
-    raise ValueError(f"unknown format {fmt!r}")
+        raw = spark.read.schema(in_file).option("header", True).option("enforceSchema", False).csv(path)
+    elif fmt == "parquet":
+        raw = conform(spark.read.parquet(path), in_file)
+    else:
+        raise ValueError(f"unknown format {fmt!r}")
+    return raw.withColumnsRenamed({name: own for own, name in PREDICTIONS_FILE.items()})
 
 
 def conform(df: DataFrame, schema) -> DataFrame:
     """Select and cast to a fixed schema by name (no RDD round trip)."""
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
-
-def read_titles_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return conform(spark.read.parquet(path), TITLES)

@@ -28,12 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def interactions(spark: SparkSession, sf_dir: str, order_id: bool = False) -> DataFrame:
     """Interactions from ``lineitem`` and ``orders``; only five columns are scanned.
 
     The orders side is broadcast only if its exact row count (read from the
     Parquet footers, no scan) fits the broadcast budget; otherwise this is a
-    shuffle join, where AQE splits the partitions of a hot order key.
+    shuffle join, where AQE splits the partitions of a hot order key. With
+    ``order_id`` the order's key is a fifth column.
     """
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
     joined = lines.join(_orders_side(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -42,6 +43,7 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         checked_int("l_partkey").alias("item_id"),
         F.col("l_quantity").cast("float").alias("hours"),
         (F.col("l_returnflag") != F.lit("R")).alias("is_recommended"),
+        *([F.col("l_orderkey").alias("order_id")] if order_id else []),
     )
 
 

@@ -12,6 +12,7 @@ from sparkrec.plans.session import Workspace
 # Words are runs of anything but space, tab, newline, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]+"
+FIRST_ID = -(1 << 63)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,3 +38,38 @@ def word_count(text: Column) -> Column:
 def hash_buckets(rows: int, per_bucket: int = 20_000) -> int:
     """How many buckets keep about ``per_bucket`` rows each; grows with the table."""
     return max(1, math.ceil(rows / per_bucket))
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once (an inlined column would be
+    computed again for each element of an inner lambda)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def first_not_below(keys: Column, value: Column) -> Column:
+    """Index of the first of the sorted digests that is at least ``value`` (binary search)."""
+
+    def step(s, _):
+        mid = F.shiftright(s["lo"] + s["hi"], 1)
+        return let(mid, lambda m: F.when(s["lo"] >= s["hi"], s)
+                   .when(F.get(keys, m) < value, F.struct((m + 1).alias("lo"), s["hi"].alias("hi")))
+                   .otherwise(F.struct(s["lo"].alias("lo"), m.alias("hi"))))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(keys) + F.lit(1))).cast("int"))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(keys).alias("hi")), step, lambda s: s["lo"])
+
+
+def range_bucket(rows: DataFrame, key: str, buckets: int) -> Column:
+    """Which of about ``buckets`` equal key ranges a (non-null) key is in, cut at its quantiles.
+
+    Ranges are numbered in key order; equal keys share one. One job over the
+    key column; the driver gets one key per range.
+    """
+    if buckets <= 1:
+        return F.lit(0)
+    shares = [i / buckets for i in range(1, buckets)]
+    cuts = rows.agg(F.percentile_approx(key, shares, 20 * buckets).alias("cuts")).first()["cuts"]
+    if not cuts:
+        return F.lit(0)
+    # the number of cuts at or below the key
+    return let(F.lit(sorted(set(cuts))), lambda edges: first_not_below(edges, F.col(key) + 1))

@@ -25,8 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkrec.llm.common import documents, hash_buckets, pick
-from sparkrec.llm.quality import let
+from sparkrec.llm.common import FIRST_ID, documents, first_not_below, hash_buckets, let, pick, range_bucket
 
 PARAGRAPH_END = r"[\n.!?]+"
 TABLES = 3
@@ -35,7 +34,6 @@ SHARD_CELLS = 16  # a table, in a shard of a larger sketch
 SHARD_BITS = 3  # about 2 ** SHARD_BITS digests a shard
 ROUNDS = 24
 RETRIES = 6
-FIRST_ID = -(1 << 63)
 ROWS_PER_BUCKET = 1_000
 
 
@@ -114,25 +112,12 @@ def peel(a: Column, b: Column, seed: Column, cells: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, counts)
 
 
-def _first_not_below(keys: Column, value: Column) -> Column:
-    """Index of the first of the sorted digests that is at least ``value`` (binary search)."""
-
-    def step(s, _):
-        mid = F.shiftright(s["lo"] + s["hi"], 1)
-        return let(mid, lambda m: F.when(s["lo"] >= s["hi"], s)
-                   .when(F.get(keys, m) < value, F.struct((m + 1).alias("lo"), s["hi"].alias("hi")))
-                   .otherwise(F.struct(s["lo"].alias("lo"), m.alias("hi"))))
-
-    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(keys) + F.lit(1))).cast("int"))
-    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(keys).alias("hi")), step, lambda s: s["lo"])
-
-
 def shard(keys: Column, g: Column, level: Column) -> Column:
     """The digests in the ``g``-th of ``2 ** level`` equal ranges."""
     edge = lambda i: F.call_function("shiftleft", i.cast("bigint"), F.lit(64) - level).bitwiseXOR(F.lit(FIRST_ID))
     last = F.call_function("shiftleft", F.lit(1), level) - 1
-    low = F.when(g == 0, F.lit(0)).otherwise(_first_not_below(keys, edge(g)))
-    high = F.when(g == last, F.size(keys)).otherwise(_first_not_below(keys, edge(g + 1)))
+    low = F.when(g == 0, F.lit(0)).otherwise(first_not_below(keys, edge(g)))
+    high = F.when(g == last, F.size(keys)).otherwise(first_not_below(keys, edge(g + 1)))
     return let(F.struct(low.alias("lo"), high.alias("hi")), lambda r: F.slice(keys, r["lo"] + 1, r["hi"] - r["lo"]))
 
 
@@ -189,14 +174,7 @@ def with_next_text(docs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> D
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", F.lit(FIRST_ID)).alias("key"))
     n = rows.count()
     buckets = hash_buckets(n, rows_per_bucket)
-    if buckets > 1:
-        shares = [i / buckets for i in range(1, buckets)]
-        cuts = sorted(set(rows.agg(F.percentile_approx("key", shares, 20 * buckets).alias("cuts")).first()["cuts"]))
-        # the number of cuts at or below the key
-        bucket = let(F.lit(cuts), lambda edges: _first_not_below(edges, F.col("key") + 1))
-    else:
-        bucket = F.lit(0)
-    located = rows.withColumn("bucket", bucket)
+    located = rows.withColumn("bucket", range_bucket(rows, "key", buckets))
     firsts = {r["bucket"]: r["key"] for r in located.groupBy("bucket").agg(F.min("key").alias("key")).collect()}
     if not firsts:
         return rows.select("doc_id", "text", F.col("text").alias("next_text"))

@@ -19,8 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkrec.llm.common import documents, pick
-from sparkrec.llm.quality import let
+from sparkrec.llm.common import documents, let, pick
 
 ROUNDS = 8
 KEY = "pseudonyms"

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkrec.llm.common import BLANK, documents, pick, scratch
+from sparkrec.llm.common import BLANK, documents, let, pick, scratch
 from sparkrec.plans.joins import bounded_side
 
 WINDOW = 8
@@ -27,12 +27,6 @@ SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once (an inlined column would be
-    computed again for each element of an inner lambda)."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def words_of(text: Column) -> Column:
     return F.filter(F.split(text, BLANK), lambda w: w != "")
 

@@ -8,14 +8,15 @@ of a file, finds the frames of the documents it wants and decompresses only
 those; each frame is checked against its checksum. Any zstandard tool
 decompresses a file as a whole.
 
-Documents are range-partitioned and sorted by ``doc_id``; each task writes its
-own files under new names and reports them; only reported files are in the
+Texts are encoded and compressed where they are read; only frames are dealt
+out, by equal ranges of ``doc_id``, and sorted. A task writes its ranges to own
+files under new names and reports them; only reported files are in the
 manifest, so a task that is run again leaves a file that nobody reads. The
 files go to any file system that Arrow opens by its address.
 
 Edge cases: a null or empty text is the end id alone; a null ``doc_id`` sorts
-first; rows with equal ids are sorted by text; an empty table gives an empty
-manifest and an empty result.
+first; rows with equal ids are sorted by a hash of the text; an empty table
+gives an empty manifest and an empty result.
 """
 
 from __future__ import annotations
@@ -25,14 +26,12 @@ import uuid
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from sparkrec.llm import token_ids
-from sparkrec.llm.common import documents, pick, scratch
+from sparkrec.llm.common import FIRST_ID, documents, hash_buckets, pick, range_bucket, scratch
 
 # Fixed values of the zstandard frame and seekable formats.
 SKIPPABLE_INDEX = 0x184D2A50
@@ -41,7 +40,6 @@ SEEKABLE_FOOTER = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
 FILE_BYTES = 64 << 20
-NO_ID = -(1 << 63)
 MANIFEST = "file string, part int, seq int, n_docs bigint, n_tokens bigint, first_doc bigint, last_doc bigint"
 
 
@@ -55,24 +53,18 @@ def open_folder(uri: str):
 
 
 class FrameWriter:
-    """Writes one file: ``add`` a document's bytes, then ``close``."""
+    """Writes one file: ``add`` the documents' frames, then ``close``."""
 
-    def __init__(self, filesystem, path: str, level: int):
-        import zstandard
-
-        self.compress = zstandard.ZstdCompressor(level=level).compress
+    def __init__(self, filesystem, path: str):
         self.out = filesystem.open_output_stream(path, compression=None)
         self.table, self.ids, self.size, self.tokens = [], [], 0, 0
 
-    def add(self, doc_id: int | None, data: bytes) -> None:
-        import xxhash
-
-        frame = self.compress(data)
+    def add(self, doc_id: int, frame, size: int, checksum: int) -> None:
         self.out.write(frame)
-        self.table.append((len(frame), len(data), xxhash.xxh64_intdigest(data) & 0xFFFFFFFF))
-        self.ids.append(NO_ID if doc_id is None else doc_id)
+        self.table.append((len(frame), size, checksum))
+        self.ids.append(doc_id)
         self.size += len(frame)
-        self.tokens += len(data) // 4
+        self.tokens += size // 4
 
     def close(self) -> None:
         index = np.array(self.ids, "<i8").tobytes()
@@ -107,33 +99,52 @@ def read_frames(filesystem, path: str, wanted: set[int] | None = None):
                 data = decompress(f.read(int(table[i, 0])), max_output_size=max(1, int(table[i, 1])))
                 if xxhash.xxh64_intdigest(data) & 0xFFFFFFFF != table[i, 2]:
                     raise ValueError(f"{path}: frame {i} does not match its checksum")
-            yield (None if ids[i] == NO_ID else int(ids[i])), int(before[i]), data
+            yield (None if ids[i] == FIRST_ID else int(ids[i])), int(before[i]), data
 
 
-def _write_partition(folder: str, vocabulary: str, end_id: int, level: int, file_bytes: int):
+def _frames(vocabulary: str, end_id: int, level: int):
     end = np.array([end_id], "<u4").tobytes()
 
-    def write(batches):
-        from pyspark import TaskContext
+    def encode_all(batches):
+        import xxhash
+        import zstandard
+
+        encode, compress = token_ids.encoder(vocabulary).encode, zstandard.ZstdCompressor(level=level).compress
+        names = ["bucket", "key", "tie", "frame", "size", "checksum"]
+        for batch in batches:
+            frames, sizes, sums = [], [], []
+            for text in batch.column(3):
+                data = encode(text.as_py()) + end
+                frames.append(compress(data))
+                sizes.append(len(data))
+                sums.append(xxhash.xxh64_intdigest(data) & 0xFFFFFFFF)
+            columns = [*batch.columns[:3], pa.array(frames, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-        encode, part = token_ids.encoder(vocabulary).encode, TaskContext.get().partitionId()
+    return encode_all
+
+
+def _write_files(folder: str, file_bytes: int):
+    def write(batches):
         filesystem, path = open_folder(folder)
-        rows, writer, name = [], None, ""
+        rows, writer, name, part, seq = [], None, "", None, 0
 
         def close():
             writer.close()
-            known = [i for i in writer.ids if i != NO_ID]
-            rows.append((name, part, len(rows), len(writer.ids), writer.tokens, min(known, default=None), max(known, default=None)))
+            known = [i for i in writer.ids if i != FIRST_ID]
+            rows.append((name, part, seq, len(writer.ids), writer.tokens, min(known, default=None), max(known, default=None)))
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if writer is None:
-                    name = f"tokens-{part:06d}-{len(rows):04d}-{uuid.uuid4().hex}.zst"
-                    writer = FrameWriter(filesystem, f"{path}/{name}", level)
-                writer.add(doc_id, encode(text.as_py()) + end)
-                if writer.size >= file_bytes:
+            for bucket, key, frame, size, checksum in zip(*(batch.column(i) for i in (0, 1, 3, 4, 5))):
+                bucket = bucket.as_py()
+                if writer is not None and (bucket != part or writer.size >= file_bytes):
                     close()
-                    writer = None
+                    writer, seq = None, seq + 1 if bucket == part else 0
+                if writer is None:
+                    part = bucket
+                    name = f"tokens-{part:06d}-{seq:04d}-{uuid.uuid4().hex}.zst"
+                    writer = FrameWriter(filesystem, f"{path}/{name}")
+                writer.add(key.as_py(), frame.as_py(), size.as_py(), checksum.as_py())
         if writer is not None:
             close()
         names = [c.split()[0] for c in MANIFEST.split(", ")]
@@ -147,18 +158,29 @@ def _write_partition(folder: str, vocabulary: str, end_id: int, level: int, file
 def write_token_files(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None,
                       end_id: int = token_ids.END_ID, level: int = 3, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes the files below ``folder`` and returns their manifest (one row a file, written beside them)."""
+    spark = docs.sparkSession
     filesystem, path = open_folder(folder)
     filesystem.create_dir(path, recursive=True)
-    rows = pick(docs, doc_id=doc_id, text=text).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    manifest = rows.mapInArrow(_write_partition(folder, vocabulary or token_ids.vocabulary_path(), end_id, level, file_bytes), MANIFEST)
+    rows = pick(docs, doc_id=doc_id, text=text).select(
+        F.coalesce("doc_id", F.lit(FIRST_ID)).alias("key"), F.xxhash64("text").alias("tie"), "text"
+    )
+    total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    ranges = max(hash_buckets(total, file_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.select(range_bucket(rows, "key", ranges).alias("bucket"), "key", "tie", "text")
+    schema = "bucket int, key bigint, tie bigint, frame binary, size bigint, checksum bigint"
+    framed = dealt.mapInArrow(_frames(vocabulary or token_ids.vocabulary_path(), end_id, level), schema)
+    sorted_ = framed.repartition("bucket").sortWithinPartitions("bucket", "key", "tie")
+    manifest = sorted_.mapInArrow(_write_files(folder, file_bytes), MANIFEST)
     manifest.write.parquet(f"{folder}/manifest")
     return docs.sparkSession.read.parquet(f"{folder}/manifest")
 
 
-def read_token_files(manifest: DataFrame, folder: str, doc_ids: list[int] | None = None) -> DataFrame:
+def read_token_files(manifest: DataFrame, folder: str, doc_ids: list[int] | None = None, digest: bool = False) -> DataFrame:
     """Per (wanted) document: ``doc_id, start`` (ids of all documents before it), ``ids`` (binary).
 
-    The manifest has one row per file, so its running total is over metadata.
+    With ``digest``, the ids' number and checksum (``n_tokens, ids_crc32``)
+    stand in for the ids. The manifest has one row per file, so its running
+    total is over metadata.
     """
     before = F.sum("n_tokens").over(Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1))
     files = manifest.withColumn("first_id", F.coalesce(before, F.lit(0)))
@@ -168,36 +190,33 @@ def read_token_files(manifest: DataFrame, folder: str, doc_ids: list[int] | None
 
     def read(batches):
         filesystem, path = open_folder(folder)
-        for pdf in batches:
-            for name, first in zip(pdf["file"], pdf["first_id"]):
+        for batch in batches:
+            for name, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows, size = [], 0
                 for doc, start, data in read_frames(filesystem, f"{path}/{name}", wanted):
                     if data is None:
                         continue
-                    rows.append((doc, int(first) + start, data))
-                    size += len(data)
-                    if size > 16 << 20:
-                        yield frame(rows)
+                    own = (len(data) // 4, zlib.crc32(data)) if digest else (data,)
+                    rows.append((doc, int(first) + start, *own))
+                    size += 32 if digest else len(data)
+                    if size > 4 << 20:
+                        yield from_rows(rows)
                         rows, size = [], 0
                 if rows:
-                    yield frame(rows)
-
-    def frame(rows):
-        out = pd.DataFrame(rows, columns=["doc_id", "start", "ids"])
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        return out
+                    yield from_rows(rows)
 
-    n = max(1, manifest.count())
-    return files.select("file", "first_id").repartition(n).mapInPandas(read, "doc_id bigint, start bigint, ids binary")
+    names = ["doc_id", "start", *(["n_tokens", "ids_crc32"] if digest else ["ids"])]
+    kinds = [pa.binary() if c == "ids" else pa.int64() for c in names]
 
+    def from_rows(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-@F.pandas_udf(LongType())
-def crc32_of(ids: pd.Series) -> pd.Series:
-    return ids.map(zlib.crc32).astype("int64")
+    schema = ", ".join(f"{c} {'binary' if c == 'ids' else 'bigint'}" for c in names)
+    n = max(1, manifest.count())
+    return files.select("file", "first_id").repartition(n).mapInArrow(read, schema)
 
 
 def op6_token_files(spark, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "token-files").location("ids")
     manifest = write_token_files(documents(spark, sf_dir), folder)
-    back = read_token_files(manifest, folder)
-    return back.select("doc_id", "start", F.expr("octet_length(ids) div 4").cast("bigint").alias("n_tokens"), crc32_of("ids").alias("ids_crc32"))
+    return read_token_files(manifest, folder, digest=True)

@@ -7,7 +7,8 @@ Prints one JSON line: total seconds and seconds per query.
 * ``evaluate``       ALS fit on train (rank 4, lambda 0.3, 30 it.) + RMSE per split
 * ``recommend_all``  ALS fit on all ratings, score rated pairs, top-10 + titles, written
 * ``recommend_user`` top-10 + titles for one user from the same model
-* ``tune``           grid rank 4 x lambda {0.1,0.2,0.3} x iterations {15,30}
+* ``tune``           grid rank {4,7,10,13} x lambda {0.1,0.2,0.3} x iterations {15,30}:
+                     all 24 trials through the tuning job
 
 Before timing, the same code paths run once on the tiny sf0.001 tables
 (JVM class loading and JIT); that warm-up is reported as ``warmup_sec`` in
@@ -33,14 +34,14 @@ def main() -> None:
     from sparkrec.operators import model as als
     from sparkrec.operators.evaluate import rmse_by_split
     from sparkrec.operators.ratings import derive_ratings
-    from sparkrec.operators.recommend import recommend
+    from sparkrec.operators.recommend import measured, recommend
     from sparkrec.operators.split import assign_split, split_frames
-    from sparkrec.operators.tune import best_trial, grid, run_grid
+    from sparkrec.plans import jobs
     from sparkrec.plans.session import Workspace, local_session
     from sparkrec.sources import tables
 
     spark = local_session(cpus, app_name="sparkrec-bench")
-    cfg = als.AlsConfig(rank=4, iterations=30, reg=0.3, seed=37, user_blocks=cpus, item_blocks=cpus)
+    fit_cfg = als.AlsConfig(rank=4, iterations=30, reg=0.3, seed=37)
     times: dict[str, float] = {}
     info: dict[str, object] = {}
 
@@ -56,7 +57,7 @@ def main() -> None:
         with Workspace(spark, "bench-warmup") as warm:
             r = warm.materialize(derive_ratings(tables.interactions(spark, warm_dir), warm), "ratings")
             r = warm.materialize(assign_split(r), "split", partition_by=["split"])
-            m = als.fit(r, cfg.with_params(iterations=2, solver="mllib"), warm)
+            m = als.fit(r, fit_cfg.with_params(iterations=2), warm)
             rmse_by_split(m, r).collect()
             recommend(m, r, tables.titles(spark, warm_dir), 10).count()
         info["warmup_sec"] = round(time.perf_counter() - t0, 3)
@@ -67,11 +68,7 @@ def main() -> None:
         )
         info["ratings"] = ratings.count()
         data = timed("split", lambda: ws.materialize(assign_split(ratings), "split", partition_by=["split"]))
-        train, validation, test = split_frames(data)
-        # One key-load check decides the solver for every fit of the run.
-        resolved = timed("solver_check", lambda: als.resolve_solver(ratings, cfg))
-        info["solver"] = resolved.solver
-        fit_cfg = resolved
+        train = split_frames(data)[0]
 
         def evaluate():
             model = als.fit(train, fit_cfg, ws)
@@ -80,12 +77,12 @@ def main() -> None:
         info["rmse"] = timed("evaluate", evaluate)
 
         titles = ws.materialize(tables.titles(spark, sf_dir), "titles")
-        n_titles = titles.count()
+        n_titles, titles_bytes = measured(titles)
         state = {}
 
         def recommend_all():
             state["model"] = als.fit(ratings, fit_cfg, ws)
-            out = recommend(state["model"], ratings, titles, 10, titles_rows=n_titles)
+            out = recommend(state["model"], ratings, titles, 10, titles_rows=n_titles, titles_bytes=titles_bytes)
             return ws.materialize(out, "recommendations").count()
 
         info["recommendations"] = timed("recommend_all", recommend_all)
@@ -95,13 +92,9 @@ def main() -> None:
         )
 
         def tune():
-            trials = run_grid(
-                spark, train, validation, grid([4], [0.1, 0.2, 0.3], [15, 30]),
-                lambda df, t: als.fit(df, fit_cfg.with_params(rank=t.rank, reg=t.reg, iterations=t.iterations), ws), test,
-                parallelism=6,
-            )
-            best = best_trial(trials).first()
-            return {"reg": best["reg"], "iterations": best["iterations"], "validation_rmse": round(best["validation_rmse"], 6)}
+            _, best = jobs.tune_job(spark, tables.interactions(spark, sf_dir), ws, fit_cfg, parallelism=4)
+            best = best.first()
+            return {"rank": best["rank"], "reg": best["reg"], "iterations": best["iterations"], "validation_rmse": round(best["validation_rmse"], 6)}
 
         info["best"] = timed("tune", tune)
 

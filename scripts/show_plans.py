@@ -65,7 +65,6 @@ def main() -> None:
             step = fz.normal_equations(layout.join(factors), "user_id", "rating", 4)
             print("\n### skew-safe ALS half-step, factors not broadcast (salted layout, cap 10)\n")
             print(final_plan(step))
-            layout.release()
         finally:
             spark.conf.set(key, old)
 

@@ -34,15 +34,15 @@ def pair_bucket_sql(user: str = "user_id", item: str = "item_id", seed: int = 37
 
 
 def unit_number(key: str, seed: int, j: int) -> Column:
-    """A number in (-1, 1) from the md5 of ``"<key>|<seed>|<j>"``; exact in double."""
+    """A number in (0, 1) from the md5 of ``"<key>|<seed>|<j>"``; exact in double."""
     digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)), F.lit(str(j))))
-    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") * F.lit(2.0) + F.lit(1.0)) / F.lit(float(HASH_SPACE)) - F.lit(1.0)
+    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(HASH_SPACE))
 
 
 def unit_number_sql(key: str, seed: int, j: int) -> str:
     """The same number as DuckDB SQL."""
     digest = f"md5(concat_ws('|', CAST({key} AS VARCHAR), '{seed}', '{j}'))"
-    return f"(CAST(CAST(('0x' || substring({digest}, 1, 8)) AS BIGINT) AS DOUBLE) * 2.0 + 1.0) / {float(HASH_SPACE)!r} - 1.0"
+    return f"(CAST(CAST(('0x' || substring({digest}, 1, 8)) AS BIGINT) AS DOUBLE) + 0.5) / {float(HASH_SPACE)!r}"
 
 
 def split_bounds(weights: Sequence[float]) -> list[int]:

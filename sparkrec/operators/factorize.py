@@ -6,8 +6,8 @@ ALS-WR objective of Spark's ALS):
 
 1. ratings joined with the fixed factors on the fixed key: the factors
    are broadcast when their exact row count fits the budget; otherwise
-   the ratings sit in a written layout with a hot key's rows spread over
-   several salts, and the join is a shuffle hash join on (key, salt)
+   the ratings sit in a table bucketed by (key, salt), a hot key's rows
+   spread over several salts, and only the factor table is shuffled
    (:class:`RatingsLayout`);
 2. ``groupBy(key)`` with plain ``SUM`` aggregates of the packed upper
    triangle of ``y y^T`` and of ``r y``: partial aggregation on the map side,
@@ -21,8 +21,9 @@ ALS-WR objective of Spark's ALS):
 No step gathers a key's ratings into one task, unlike MLlib's blocked ALS
 whose in-block for a hot item holds all of that item's ratings.
 
-Initial factors come from the md5 of ``(id, seed, j)`` (uniform, then unit
-length), so they do not depend on partitioning or engine.
+Initial factors come from the md5 of ``(id, seed, j)`` (uniform in (0, 1), as
+ratings are positive, then unit length), so they do not depend on
+partitioning or engine.
 """
 
 from __future__ import annotations
@@ -93,16 +94,18 @@ class RatingsLayout:
     * Otherwise a key with more than ``cap`` ratings is spread over
       ``ceil(count / cap)`` salts (a hash of the other key), so no
       (key, salt) group exceeds ``cap`` rows but for hash imbalance. The
-      salted ratings are written once; each half-step joins them with the
-      factor table, one copy per salt of a hot key, on (key, salt). ``cap``
-      defaults to total ratings / partitions; the table of hot keys then has
-      at most ``partitions`` rows, a proven bound.
+      salted ratings are written once, bucketed by (key, salt); each
+      half-step shuffles only the factor table, with one copy per salt of a
+      hot key, into the same buckets and joins without moving the ratings.
+      ``cap`` defaults to total ratings / partitions; the table of hot keys
+      then has at most ``partitions`` rows, a proven bound.
     """
 
     def __init__(self, data: DataFrame, key: str, other: str, counts: DataFrame, n_keys: int, rank: int,
                  partitions: int, cap: int | None, ws):
         self.key, self.rank = key, rank
         self.broadcast = fits_broadcast(data.sparkSession, n_keys, 8 * rank + 48)
+        self.partitions = partitions
         self.ratings = data
         if self.broadcast:
             return
@@ -115,14 +118,15 @@ class RatingsLayout:
         self.hot = bounded_side(hot, hot.count(), 16)
         salt = F.when(F.col("salts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(F.col(other)), F.col("salts")))
         salted = data.join(self.hot, key, "left").withColumn("salt", salt.cast("int")).drop("salts")
-        self.ratings = ws.materialize(salted, f"salted_{key}")
+        self.ratings = ws.bucketed(salted, f"salted_{key}", [key, "salt"], partitions)
 
     def join(self, factors: DataFrame) -> DataFrame:
         if self.broadcast:
             return self.ratings.join(F.broadcast(factors), self.key)
         copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - F.lit(1)))
         fixed = factors.join(self.hot, self.key, "left").withColumn("salt", copies).drop("salts")
-        return self.ratings.join(fixed.hint("shuffle_hash"), [self.key, "salt"]).drop("salt")
+        fixed = fixed.repartition(self.partitions, self.key, "salt").hint("shuffle_hash")
+        return self.ratings.join(fixed, [self.key, "salt"]).drop("salt")
 
 
 def half_step(layout: RatingsLayout, fixed: DataFrame, solve_key: str, rating: str, rank: int, reg: float) -> DataFrame:

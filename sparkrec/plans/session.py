@@ -105,6 +105,7 @@ class Workspace:
         root = shared_checkpoint_dir(spark).rstrip("/")
         self.path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
         self.last_path: str | None = None
+        self._catalog: list[str] = []
 
     def location(self, name: str) -> str:
         return f"{self.path}/{name}"
@@ -133,6 +134,15 @@ class Workspace:
         writer.parquet(path)
         return self.spark.read.parquet(path)
 
+    def bucketed(self, df: DataFrame, name: str, columns: list[str], buckets: int) -> DataFrame:
+        """Write ``df`` bucketed by ``columns`` and return it read back: joins on
+        those columns do not move it again."""
+        table = f"{name}_{uuid.uuid4().hex[:8]}"
+        writer = df.repartition(buckets, *columns).write.bucketBy(buckets, *columns)
+        writer.format("parquet").option("path", self.location(table)).saveAsTable(table)
+        self._catalog.append(table)
+        return self.spark.table(table)
+
     def tables(self) -> list[str]:
         """Names of the stages that are written and not yet removed."""
         jvm = self.spark.sparkContext._jvm
@@ -157,6 +167,8 @@ class Workspace:
 
     def drop(self) -> None:
         """Delete the folder through the Hadoop file system of its URI."""
+        while self._catalog:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._catalog.pop()}")
         self._delete(self.path)
 
     def _delete(self, where: str) -> None:

@@ -48,7 +48,7 @@ def main(sf_dir: str) -> None:
     flaky = ws.materialize(derive_ratings(inter.filter(flaky_keep("user_id")), ws).filter(flaky_keep("item_id")), "flaky")
     same_rows = clean.exceptAll(flaky).count() == 0 and flaky.exceptAll(clean).count() == 0
 
-    cfg = als.AlsConfig(rank=3, iterations=2, solver="normal_equations")
+    cfg = als.AlsConfig(rank=3, iterations=2)
     a = rmse_value(als.fit(clean, cfg, ws), clean)
     b = rmse_value(als.fit(flaky.filter(flaky_keep("rating")), cfg, ws), clean)
     failures = len(os.listdir(MARKERS))

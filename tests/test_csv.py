@@ -31,7 +31,7 @@ def test_swapped_header_fails(spark, tmp_path):
 def test_pruned_scan(spark, tmp_path):
     p = _write(tmp_path, "c.csv", HEADER + "10,0,0,2020-01-01,true,1.0,7,1\n")
     plan = io.read_interactions_csv(spark, p)._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<app_id:int,is_recommended:boolean,hours:float,user_id:int>" in plan
+    assert "ReadSchema: struct<app_id:string,is_recommended:boolean,hours:float,user_id:string>" in plan
 
 
 def test_interactions_round_trip(spark, tmp_path):
@@ -69,3 +69,30 @@ def test_predictions_round_trip_and_overwrite(spark, tmp_path):
     assert back.count() == 1
     io.write_predictions(df, path, "parquet")
     assert io.read_predictions(spark, path, "parquet").count() == 2
+
+
+@pytest.mark.parametrize("row", ["10,0,0,2020-01-01,true,1.0,3000000000,1", "99999999999999999999,0,0,2020-01-01,true,1.0,7,1"])
+def test_key_beyond_int_fails(spark, tmp_path, row):
+    p = _write(tmp_path, "k.csv", HEADER + row + "\n")
+    with pytest.raises(Exception, match="out of int range"):
+        io.read_interactions_csv(spark, p).collect()
+
+
+def test_unparsable_keys_are_counted(spark, tmp_path):
+    p = _write(tmp_path, "u.csv", HEADER + "x,0,0,2020-01-01,true,1.0,7,1\n3,0,0,2020-01-01,true,1.0,1.5,1\n4,0\n")
+    assert tuple(io.unparsable_keys(spark, p).first()) == (1, 1)
+
+
+@pytest.mark.parametrize("infer", [False, True])
+def test_unparsable_title_key_is_null(spark, tmp_path, infer):
+    p = _write(tmp_path, "t3.csv", "app_id,title\n10,Alpha\nx,Beta\n")
+    assert {r["title"]: r["item_id"] for r in io.read_titles_csv(spark, p, infer=infer).collect()} == {"Alpha": 10, "Beta": None}
+
+
+def test_predictions_file_names(spark, tmp_path):
+    """A file with the interchange header reads back, and ours has that header."""
+    p = _write(tmp_path, "p.csv", "user_id,app_id,rating_points\n1,2,3.5\n")
+    assert [tuple(r) for r in io.read_predictions(spark, p).collect()] == [(1, 2, 3.5)]
+    out = str(tmp_path / "out")
+    io.write_predictions(io.read_predictions(spark, p), out)
+    assert spark.read.option("header", True).csv(out).columns == ["user_id", "app_id", "rating_points"]

@@ -11,7 +11,7 @@ from sparkrec.operators.evaluate import rmse_value
 from sparkrec.operators.ratings import derive_ratings
 from sparkrec.sources import tables
 
-CFG = als.AlsConfig(rank=3, iterations=4, reg=0.3, solver="normal_equations")
+CFG = als.AlsConfig(rank=3, iterations=4, reg=0.3)
 
 
 def _ratings(spark, ws):
@@ -56,10 +56,9 @@ def test_layout_spreads_hot_keys_and_keeps_ratings_in_place(spark, ws):
         assert joined.count() == ratings.count()
         lines = joined._jdf.queryExecution().executedPlan().toString().splitlines()
         start = next(n for n, line in enumerate(lines) if "ShuffledHashJoin" in line)
-        scan = next(n for n in range(start, len(lines)) if "InMemoryTableScan" in lines[n])
-        # the streamed side is the persisted layout, read without a new shuffle
+        scan = next(n for n in range(start, len(lines)) if "FileScan" in lines[n] and "Bucketed: true" in lines[n])
+        # the streamed side is the bucketed table, read without a new shuffle
         assert not any("Exchange" in line for line in lines[start + 1 : scan])
-        layout.release()
     finally:
         spark.conf.set(key, old)
 
@@ -79,7 +78,7 @@ def test_one_sweep_equals_numpy_brute_force(spark, ws):
 
     ratings = _ratings(spark, ws)
     k, reg = 3, 0.3
-    cfg = als.AlsConfig(rank=k, iterations=1, reg=reg, solver="normal_equations")
+    cfg = als.AlsConfig(rank=k, iterations=1, reg=reg)
     model = als.fit(ratings, cfg, ws)
 
     rows = [(r["user_id"], r["item_id"], float(r["rating"])) for r in ratings.collect()]
@@ -113,7 +112,7 @@ def test_one_sweep_equals_numpy_brute_force(spark, ws):
 
 def test_path_snapshots_equal_separate_fits(spark, ws):
     ratings = _ratings(spark, ws)
-    cfg = als.AlsConfig(rank=3, reg=0.3, solver="normal_equations")
+    cfg = als.AlsConfig(rank=3, reg=0.3)
     path = als.fit_path(ratings, cfg, [2, 4], ws)
     for n in (2, 4):
         direct = als.fit(ratings, cfg.with_params(iterations=n), ws)
@@ -124,7 +123,7 @@ def test_path_snapshots_equal_separate_fits(spark, ws):
 def test_tune_job_shares_runs_across_iteration_counts(spark, ws):
     from sparkrec.plans import jobs
 
-    cfg = als.AlsConfig(rank=3, solver="normal_equations")
+    cfg = als.AlsConfig(rank=3)
     trials, best = jobs.tune_job(spark, tables.interactions(spark, SF_TINY), ws, cfg,
                                  ranks=(3,), regs=(0.3,), iterations=(1, 2), parallelism=2)
     rows = trials.orderBy("trial_no").collect()

@@ -2,8 +2,8 @@
 
 Line 1 of every order is re-keyed to one item, so that item has about 15%
 of all interactions (vs. 0.5% for a typical item at sf0.001). Ratings must still equal DuckDB's,
-the solver check must pick the skew-safe solver, its layout must spread
-the hot item over many salts, and every user must get a list.
+the solver's layout must spread the hot item over many salts, and every
+user must get a list.
 """
 
 import duckdb
@@ -52,29 +52,51 @@ def test_hot_item_pipeline(spark, ws):
     ratings = ws.materialize(derive_ratings(inter, ws), "hot_ratings")
     assert sorted(tuple(r) for r in ratings.collect()) == _duck_ratings()
 
-    load = als.key_load(ratings)
     total = ratings.count()
-    assert load["item"] > total // 10  # the hot item really is hot
+    hot_rows = ratings.filter(F.col("item_id") == HOT_ITEM).count()
+    assert hot_rows > total // 10  # the hot item really is hot
 
     key = "spark.sql.adaptive.autoBroadcastJoinThreshold"
     old = spark.conf.get(key)
     spark.conf.set(key, "1k")  # factor tables too big to broadcast: salted layout
     try:
         cap = total // 8
-        cfg = als.AlsConfig(rank=3, iterations=3, reg=0.3, mllib_max_key_rows=cap, partitions=8, salt_cap=cap)
-        assert als.resolve_solver(ratings, cfg).solver == "normal_equations"
+        cfg = als.AlsConfig(rank=3, iterations=3, reg=0.3, partitions=8, salt_cap=cap)
 
         counts = ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
         layout = fz.RatingsLayout(ratings.select("user_id", "item_id", "rating"), "item_id", "user_id",
                                   counts, counts.count(), 3, 8, cap, ws)
         groups = layout.ratings.filter(F.col("item_id") == HOT_ITEM).groupBy("salt").count().collect()
-        assert len(groups) >= load["item"] // cap
+        assert len(groups) >= hot_rows // cap
         assert max(g["count"] for g in groups) <= 2 * cap
-        layout.release()
 
         model = als.fit(ratings, cfg, ws)
-        assert model.solver == "normal_equations"
         lists = top_k(model.transform(candidate_pairs(ratings)), 10)
         assert lists.select("user_id").distinct().count() == ratings.select("user_id").distinct().count()
     finally:
         spark.conf.set(key, old)
+
+
+def test_hot_item_join_is_split(spark, ws):
+    """Averages joined back without a broadcast: half of all rows are one item's, its partition is split."""
+    from conftest import plan_text
+    from sparkrec.plans.queries import _averaged
+
+    inter = _hot_interactions(spark)
+    inter = inter.withColumn("item_id", F.when(F.col("user_id") % 2 == 0, F.lit(HOT_ITEM)).otherwise(F.col("item_id")))
+    inter = inter.select("*", *[F.lit(f"{'x' * 20}").alias(f"wide{j}") for j in range(3)])
+    keys = {
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        joined = _averaged(inter, ws)
+        assert len(joined.collect()) == inter.count()
+        assert "skew=true" in plan_text(joined).split("== Initial Plan ==")[0]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

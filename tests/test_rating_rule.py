@@ -46,26 +46,6 @@ SCHEMA = StructType(
 )
 
 
-def python_rule(rec, hours, avg):
-    """The rule stated as plain branches (Python truthiness for the flag)."""
-    if hours is None or avg is None:
-        return None
-    if rec and hours >= avg:
-        return 4
-    if rec and hours < avg:
-        return 3
-    if not rec and hours > avg:
-        return 2
-    if not rec and hours < avg:
-        return 1
-    return None
-
-
-def test_expected_column_matches_python_rule():
-    for rec, h, a, want in EDGE_ROWS:
-        assert python_rule(rec, h, a) == want, (rec, h, a)
-
-
 def test_spark_rule_on_edge_rows(spark):
     rows = [(r, h, a, None if e is None else float(e)) for r, h, a, e in EDGE_ROWS]
     df = spark.createDataFrame(rows, SCHEMA)

@@ -77,3 +77,23 @@ def test_recommend_for_a_set_of_users(spark):
     assert sorted({r["user_id"] for r in out}) == [2, 3]
     per_user = [(r["rank"], r["item_id"]) for r in out if r["user_id"] == 2]
     assert sorted(per_user) == [(1, 6), (2, 13), (3, 5)]
+
+
+def test_conflicting_scores_of_a_pair(spark):
+    """A pair listed with two scores counts once, with the higher one, for one user and for all."""
+    rows = [(1, 5, 3.0), (1, 5, 9.0), (1, 6, 4.0), (1, 7, 4.0), (1, 7, 1.0)]
+    preds = spark.createDataFrame(rows, P)
+    want = [(1, 5, 9.0), (2, 6, 4.0), (3, 7, 4.0)]
+    one = [(r["rank"], r["item_id"], r["prediction"]) for r in top_k_for_user(preds, 1, 3).collect()]
+    every = sorted((r["rank"], r["item_id"], r["prediction"]) for r in top_k(preds, 3).collect())
+    assert one == every == want
+
+
+def test_titles_side_uses_measured_bytes(spark):
+    from sparkrec.operators.recommend import measured
+
+    titles = spark.createDataFrame([(i, "x" * 40_000) for i in range(300)], "item_id int, title string")
+    rows, size = measured(titles)
+    assert (rows, size) == (300, 12_000_000)
+    df = with_titles(top_k(_preds(spark), 2), titles, titles_rows=rows, titles_bytes=size)
+    assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()

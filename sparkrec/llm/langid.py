@@ -4,7 +4,9 @@ The pieces of a fixed public vocabulary get one probability per language. The
 probability of a word is the sum over all its segmentations into pieces (a
 forward pass over its letters); a text's is the product over its words; the
 posterior over languages is the score. Probabilities are learned by
-expectation maximisation over all segmentations (forward-backward).
+expectation maximisation over all segmentations (forward-backward), mixed with
+the same share of the uniform distribution in every language, so a piece that
+no language has used speaks for none of them, however much text each taught.
 
 Training uses at most ``docs_per_lang`` labelled documents of each language,
 those with the smallest hashes of their ids (a documented bound; their words
@@ -41,7 +43,7 @@ WORD_START = "▁"
 UNDETERMINED = "und"
 DOCS_PER_LANG = 1500
 EM_ROUNDS = 3
-SMOOTHING = 0.05
+UNIFORM = 0.02
 LONGEST = 64
 CACHE_WORDS = 500_000
 CHUNK_CHARS = 2_000_000
@@ -279,8 +281,7 @@ def fit(labelled: DataFrame, path: str | None = None, docs_per_lang: int = DOCS_
         got = np.zeros_like(p)
         rows = counts.toArrow()
         got[rows.column("piece").to_numpy(), rows.column("lang").to_numpy()] = np.round(rows.column("n").to_numpy(), 6)
-        got += SMOOTHING
-        p = got / got.sum(axis=0)
+        p = (1 - UNIFORM) * got / np.maximum(got.sum(axis=0), 1e-300) + UNIFORM / own.size
     return Model(path, langs, p, np.full(len(langs), 1.0 / max(1, len(langs))))
 
 

@@ -4,6 +4,8 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from conftest import ROOT, SF_TINY
 
@@ -27,6 +29,10 @@ def test_all_operators_are_registered():
 
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_TINY}/documents.parquet")
+    # the smallest table holds no secret: three of its longer texts get one
+    planted = F.row_number().over(Window.orderBy(F.length("text").desc(), "doc_id")) <= 3
+    marked = F.concat("text", F.lit(" password = "), F.sha2(F.col("doc_id").cast("string"), 256))
+    docs = docs.withColumn("text", F.when(planted, marked).otherwise(F.col("text"))).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     ws = scratch(spark, "t-pipeline")
     sizes = []
     for name, stage in corpus_pipeline.STAGES:

@@ -232,8 +232,9 @@ def test_tree_drops_no_pair():
     sets = [np.unique(np.concatenate([rng.permutation(base)[: 100 - k], rng.integers(0, 1 << 63, k // 2).astype(np.uint64)])) for k in range(0, 60, 2)]
     sets.sort(key=len)
     bits = np.array([np.frombuffer(jaccard.bitmap(s), np.uint8) for s in sets])
-    tree = jaccard.Tree(np.array([len(s) for s in sets]), bits)
-    found = set(jaccard.dual_traversal(tree, tree, True))
+    tree, label = jaccard.Forest(np.array([len(s) for s in sets]), bits, np.array([len(sets)])), np.arange(len(sets))
+    found = list(zip(*(x.tolist() for x in jaccard.dual_traversal(tree, tree, np.array([True]), label, label))))
+    assert len(found) == len(set(found))
     for i in range(len(sets)):
         for j in range(i + 1, len(sets)):
             both = len(np.intersect1d(sets[i], sets[j]))
@@ -241,6 +242,41 @@ def test_tree_drops_no_pair():
                 assert (i, j) in found
 
 
+def test_blocks_of_many_trees_drop_no_pair():
+    rng = np.random.default_rng(8)
+    for _ in range(3):
+        x, y = [], []
+        for _ in range(4):
+            base = np.unique(rng.integers(0, 1 << 63, rng.integers(5, 150)).astype(np.uint64))
+            near = [np.unique(base[rng.random(len(base)) < 0.93]) for _ in range(rng.integers(2, 60))]
+            near = sorted((s for s in near if len(s)), key=len)
+            x.append(near)
+            y.append(near[: len(near) // 2 + 1])
+        trees = []
+        for blocks in (x, y):
+            bits = np.array([np.frombuffer(jaccard.bitmap(s), np.uint8) for b in blocks for s in b])
+            trees.append(jaccard.Forest(np.array([len(s) for b in blocks for s in b]), bits, np.array([len(b) for b in blocks])))
+        names = [np.arange(sum(map(len, x))), 10_000 + np.arange(sum(map(len, y)))]
+        got = jaccard.dual_traversal(*trees, np.zeros(4, bool), *names)
+        found = set(zip(got[0].tolist(), got[1].tolist()))
+        at_x, at_y = 0, 0
+        for bx, by in zip(x, y):
+            for i, s in enumerate(bx):
+                for j, t in enumerate(by):
+                    both = len(np.intersect1d(s, t))
+                    assert 100 * both < 80 * (len(s) + len(t) - both) or (at_x + i, at_y + j) in found
+            at_x, at_y = at_x + len(bx), at_y + len(by)
+
+
+def test_word_hashes_follow_the_words():
+    text = " The tHe\tÉcole école\x0b\nx\x85y  the\r"
+    words = text.encode().lower().split()
+    got = jaccard.word_hashes(text.encode()).tolist()
+    assert len(got) == len(words) and len(set(got)) == len(set(words))
+    assert [got.index(h) for h in got] == [words.index(w) for w in words]
+    assert len(jaccard.word_hashes(b"")) == len(jaccard.word_hashes(b" \n")) == 0
+
+
 # ----------------------------------------------------------------------- PII
 
 

@@ -7,9 +7,9 @@ subtract cell by cell, so shared paragraphs vanish, and peeling the cells that
 hold a single digest recovers the paragraphs on either side. The fingerprint
 is a small sketch of fixed size; when the difference of two is too large to be
 peeled, larger ones are made: the digest range is cut into so many shards that
-each holds few digests, then into twice as many, until all shards peel.
-Should ``RETRIES`` sizes fail, the digests are compared directly. Work per
-text is in proportion to its length.
+each holds few digests; a shard that does not peel is cut in two, then in four,
+until all its parts do. Should ``RETRIES`` sizes fail, the digests are compared
+directly. Work per text is in proportion to its length.
 
 Likeness of two texts: shared paragraphs over all paragraphs, from the counts
 and the peeled differences (1 when neither has any).
@@ -30,8 +30,8 @@ from sparkrec.llm.common import FIRST_ID, documents, first_not_below, hash_bucke
 PARAGRAPH_END = r"[\n.!?]+"
 TABLES = 3
 BASE_CELLS = 8  # a table, in the fingerprint
-SHARD_CELLS = 16  # a table, in a shard of a larger sketch
-SHARD_BITS = 3  # about 2 ** SHARD_BITS digests a shard
+SHARD_CELLS = 8  # a table, in a shard of a larger sketch
+SHARD_BITS = 2  # about 2 ** SHARD_BITS digests a shard
 ROUNDS = 24
 RETRIES = 6
 ROWS_PER_BUCKET = 1_000
@@ -61,10 +61,6 @@ def _placed(keys: Column, seed: Column, cells: int, sign: Column | None = None)
     return F.transform(keys, lambda k: place(k, F.lit(1)))
 
 
-def _at(p: Column, cell: Column) -> Column:
-    return (p["p0"] == cell) | (p["p1"] == cell) | (p["p2"] == cell)
-
-
 def _cell(c, k, h) -> Column:
     return F.struct(c.cast("int").alias("c"), k.alias("k"), h.alias("h"))
 
@@ -77,12 +73,15 @@ def sketch(keys: Column, seed: Column, cells: int) -> Column:
     """The cells of a set of digests, table after table."""
     empty = _cell(F.lit(0), F.lit(0).cast("bigint"), F.lit(0).cast("bigint"))
 
-    def filled(placed):
+    def table(placed, t):
         return F.transform(
-            F.sequence(F.lit(0), F.lit(TABLES * cells - 1)),
-            lambda i: F.aggregate(F.filter(placed, lambda p: _at(p, i)), empty, lambda acc, p: _plus(acc, p, 1)),
+            F.sequence(F.lit(t * cells), F.lit((t + 1) * cells - 1)),
+            lambda i: F.aggregate(F.filter(placed, lambda p: p[f"p{t}"] == i), empty, lambda acc, p: _plus(acc, p, 1)),
         )
 
+    def filled(placed):
+        return F.concat(*[table(placed, t) for t in range(TABLES)])
+
     return let(_placed(keys, seed, cells), filled)
 
 
@@ -94,21 +93,29 @@ def peel(a: Column, b: Column, seed: Column, cells: int) -> Column:
         single = F.filter(state["cells"], lambda x: (F.abs(x["c"]) == 1) & (F.shiftrightunsigned(F.xxhash64(x["k"], seed), 32) == x["h"]))
         pure = F.array_distinct(F.transform(single, lambda x: F.struct(x["c"].alias("s"), x["k"].alias("k"))))
 
+        def table(found, t):
+            return F.transform(
+                F.slice(state["cells"], t * cells + 1, cells),
+                lambda x, i: let(i + t * cells, lambda at: F.aggregate(F.filter(found, lambda p: p[f"p{t}"] == at), x, lambda acc, p: _plus(acc, p, -1))),
+            )
+
         def without(found):
-            rest = F.transform(state["cells"], lambda x, i: F.aggregate(F.filter(found, lambda p: _at(p, i)), x, lambda acc, p: _plus(acc, p, -1)))
             return F.struct(
-                rest.alias("cells"),
+                F.concat(*[table(found, t) for t in range(TABLES)]).alias("cells"),
                 (state["left"] + F.size(F.filter(found, lambda p: p["s"] > 0))).alias("left"),
                 (state["right"] + F.size(F.filter(found, lambda p: p["s"] < 0))).alias("right"),
+                F.lit(True).alias("open"),
             )
 
-        return let(pure, lambda p: F.when(F.size(p) == 0, state).otherwise(let(_placed(p, seed, cells, p), without)))
+        ended = F.struct(*[state[x].alias(x) for x in ("cells", "left", "right")], F.lit(False).alias("open"))
+        more = let(pure, lambda p: F.when(F.size(p) == 0, ended).otherwise(let(_placed(p, seed, cells, p), without)))
+        return F.when(state["open"], more).otherwise(state)
 
     def counts(end):
         clean = F.forall(end["cells"], lambda x: (x["c"] == 0) & (x["k"] == 0) & (x["h"] == 0))
         return F.when(clean, F.struct(end["left"].alias("left"), end["right"].alias("right")))
 
-    start = F.struct(diff.alias("cells"), F.lit(0).alias("left"), F.lit(0).alias("right"))
+    start = F.struct(diff.alias("cells"), F.lit(0).alias("left"), F.lit(0).alias("right"), F.lit(True).alias("open"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, counts)
 
 
@@ -122,11 +129,11 @@ def shard(keys: Column, g: Column, level: Column) -> Column:
 
 
 def _sharded(a: Column, b: Column, level: Column) -> Column:
-    """The difference by a sketch of ``2 ** level`` shards; null if a shard fails."""
-    seed = level + 1
+    """The difference by ``2 ** level`` shards, those that fail cut smaller; null if one never peels."""
 
-    def one(g):
-        pair = F.struct(shard(a, g, level).alias("a"), shard(b, g, level).alias("b"))
+    def one(g, depth):
+        seed = depth + 1
+        pair = F.struct(shard(a, g, depth).alias("a"), shard(b, g, depth).alias("b"))
         return let(pair, lambda s: peel(sketch(s["a"], seed, SHARD_CELLS), sketch(s["b"], seed, SHARD_CELLS), seed, SHARD_CELLS))
 
     def total(found):
@@ -134,7 +141,15 @@ def _sharded(a: Column, b: Column, level: Column) -> Column:
         zero = F.struct(F.lit(0).alias("left"), F.lit(0).alias("right"))
         return F.when(F.forall(found, lambda x: x.isNotNull()), F.aggregate(found, zero, add))
 
-    return let(F.transform(F.sequence(F.lit(0), F.call_function("shiftleft", F.lit(1), level) - 1), one), total)
+    def parts(g, r):
+        shift = lambda x: F.call_function("shiftleft", x, r)
+        return let(F.transform(F.sequence(shift(g), shift(g + 1) - 1), lambda i: one(i, level + r)), total)
+
+    def tried(g):
+        step = lambda acc, r: F.when(acc.isNotNull(), acc).otherwise(parts(g, r))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(RETRIES - 1)), F.lit(None).cast("struct<left:int,right:int>"), step)
+
+    return let(F.transform(F.sequence(F.lit(0), F.call_function("shiftleft", F.lit(1), level) - 1), tried), total)
 
 
 def likeness(a: Column, b: Column, base_a: Column, base_b: Column) -> Column:
@@ -142,13 +157,8 @@ def likeness(a: Column, b: Column, base_a: Column, base_b: Column) -> Column:
     seed = F.lit(0)
     first = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.size(a), F.size(b), F.lit(1)))).cast("int") - SHARD_BITS)
     small = F.when(F.abs(F.size(a) - F.size(b)) <= TABLES * BASE_CELLS, peel(base_a, base_b, seed, BASE_CELLS))
-
-    def larger(level):
-        step = lambda acc, r: F.when(acc.isNotNull(), acc).otherwise(_sharded(a, b, level + r))
-        return F.aggregate(F.sequence(F.lit(0), F.lit(RETRIES - 1)), F.lit(None).cast("struct<left:int,right:int>"), step)
-
     direct = F.struct(F.size(F.array_except(a, b)).alias("left"), F.size(F.array_except(b, a)).alias("right"))
-    diff = F.coalesce(small, let(first, larger), direct)
+    diff = F.coalesce(small, let(first, lambda level: _sharded(a, b, level)), direct)
 
     def ratio(d):
         every = F.size(a) + d["right"]

@@ -8,7 +8,6 @@ functions/  column expressions (rating rule, split hash, error terms)
 operators/  DataFrame -> DataFrame operators (ratings, split, model,
             evaluation, grid, top-k)
 plans/      session / workspace helpers, join strategy and the three jobs
-streaming/  nothing: the pipeline is batch only
 """
 
 __version__ = "0.1.0"

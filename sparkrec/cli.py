@@ -2,7 +2,7 @@
 
     python -m sparkrec evaluate  --interactions reviews.csv
     python -m sparkrec tune      --interactions reviews.csv --ranks 4 7 10 13
-    python -m sparkrec recommend --interactions reviews.csv --titles games.csv \\
+    python -m sparkrec recommend --interactions reviews.csv --titles titles.csv \\
                                  --user 1001 --predictions-out out/predictions
 
 Inputs are the review-log CSV (eight columns, header) and a titles CSV

@@ -212,6 +212,49 @@ def test_families_at_the_threshold(spark):
     assert got == _components(rows)
 
 
+def test_every_link_is_returned(spark, monkeypatch):
+    """Clusters of near-copies: all links among them, not only those that connect; sparse and dense comparisons, many blocks."""
+    monkeypatch.setattr(jaccard, "LINK_BLOCK", 8)
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 4))
+    rows = []
+    for family in range(8):
+        base = [word() for _ in range(30 + 15 * family)]
+        for _ in range(3 if family < 4 else 40):
+            words = list(base)
+            for _ in range(rng.integers(1, 3)):
+                words[rng.integers(len(words))] = word()
+            rows.append((len(rows), " ".join(words)))
+    rows += [(len(rows), rows[0][1]), (None, rows[1][1].upper()), (len(rows) + 1, "two " * 40), (len(rows) + 2, None)]
+    sets = {jaccard.set_key(jaccard.shingles(t)): jaccard.shingles(t) for _, t in rows if t}
+    want = set()
+    for a, s in sets.items():
+        for b, t in sets.items():
+            both = len(np.intersect1d(s, t)) if a < b else 0
+            if both and 100 * both >= 80 * (len(s) + len(t) - both):
+                want.add((a, b))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    pairs, members = jaccard.jaccard_links(docs)
+    got = [(r["a"], r["b"]) for r in pairs.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert members.count() == len(rows) - 1
+    degree = defaultdict(int)
+    for pair in want:
+        for node in pair:
+            degree[node] += 1
+    for r in jaccard.jaccard_components(docs).collect():
+        assert r["n_links"] == degree[r["node"]]
+
+
+def test_dense_overlaps_equal_the_sets(monkeypatch):
+    monkeypatch.setattr(jaccard, "COLUMNS", 16)
+    rng = np.random.default_rng(12)
+    x, y = ([np.unique(rng.integers(0, 300, rng.integers(1, 200)).astype(np.uint64)) for _ in range(n)] for n in (30, 40))
+    p, q = (a.reshape(-1) for a in np.meshgrid(np.arange(30), np.arange(40), indexing="ij"))
+    assert len(p) >= jaccard.DENSE_PAIRS
+    assert jaccard.overlaps(x, y, p, q).tolist() == [len(np.intersect1d(x[i], y[j])) for i, j in zip(p, q)]
+
+
 def test_linked_sets_share_a_signature():
     rng = np.random.default_rng(5)
     for n in list(range(1, 60)) + [200, 777]:

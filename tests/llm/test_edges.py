@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +158,33 @@ def test_components_of_repeated_and_null_rows(docs):
     assert got[1] == (11, 1) and got[2] == (0, 2) and got[3] == (0, 3) and got[7] == (1, 7)
     kept = [r["doc_id"] for r in jaccard.one_of_each_group(docs).collect()]
     assert kept.count(1) == 1 and len(kept) == len(ROWS) - 1
+
+
+def test_one_of_each_group_with_null_and_repeated_ids(spark):
+    """Against brute force: components of null ids only, of mixed ids, of one id with several texts, repeated rows."""
+    rng = np.random.default_rng(13)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 4))
+    rows = []
+    for ids in ([None] * 4, [None, 10, 11], [20, 20, 20], [31, 30, 30, None], [None, None], [40]):
+        base = [word() for _ in range(60)]
+        for k, i in enumerate(ids):
+            rows.append((i, " ".join(base[: 60 - k] + [word() for _ in range(k)])))
+    rows += [rows[0], rows[7], (None, None), (50, ""), (None, "   ")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("key", F.xxhash64("text"))
+    keyed = [(r["doc_id"], r["text"], r["key"]) for r in docs.collect()]
+    sets = [jaccard.shingles(t) for _, t, _ in keyed]
+    label = list(range(len(keyed)))
+    for _ in keyed:
+        for a, s in enumerate(sets):
+            for b, t in enumerate(sets):
+                both = len(np.intersect1d(s, t))
+                if both and 100 * both >= 80 * (len(s) + len(t) - both):
+                    label[a] = label[b] = min(label[a], label[b])
+    groups = {}
+    for (i, t, key), c, s in zip(keyed, label, sets):
+        if len(s):
+            groups.setdefault(c, []).append((i is None, i or 0, key, i, t))
+    want = [min(g)[3:] for g in groups.values()] + [(i, t) for (i, t, _), s in zip(keyed, sets) if not len(s)]
+    got = [(r["doc_id"], r["text"]) for r in jaccard.one_of_each_group(docs).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert len(groups) == 6

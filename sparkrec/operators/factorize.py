@@ -166,13 +166,12 @@ def fit_normal_equations_path(
     by_item = RatingsLayout(data, i, u, item_counts, n_items, k, partitions, cfg.salt_cap, ws)
     path: dict[int, tuple[DataFrame, DataFrame]] = {}
     with at_least(spark, CODEGEN_FIELDS, k * (k + 1) // 2 + 3 * k + 16):
-        x, stale = ws.materialize(initial_factors(user_counts.select(u), u, k, cfg.seed), "als_x0"), ws.last_path
+        x, stale = ws.stage(initial_factors(user_counts.select(u), u, k, cfg.seed), "als_x0")
         for sweep in range(1, wanted[-1] + 1):
             y = half_step(by_user, x, i, r, k, cfg.reg)
             if sweep in wanted:
                 y = ws.materialize(y, f"als_y{sweep}")
-            x = ws.materialize(half_step(by_item, y, u, r, k, cfg.reg), f"als_x{sweep}")
-            written = ws.last_path
+            x, written = ws.stage(half_step(by_item, y, u, r, k, cfg.reg), f"als_x{sweep}")
             if stale:  # the sweep before is no longer read
                 ws.remove(stale)
             stale = None if sweep in wanted else written

@@ -15,6 +15,7 @@ import tempfile
 import threading
 import uuid
 from contextlib import contextmanager
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -97,14 +98,24 @@ def shared_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+class Stage(NamedTuple):
+    """A written table and its own path, which :meth:`Workspace.remove` takes."""
+
+    table: DataFrame
+    path: str
+
+
 class Workspace:
-    """A private folder under the shared checkpoint dir for one job's stages."""
+    """A private folder under the shared checkpoint dir for one job's stages.
+
+    Several driver threads may write stages of one workspace: nothing about a
+    stage is kept in shared state.
+    """
 
     def __init__(self, spark: SparkSession, name: str = "sparkrec"):
         self.spark = spark
         root = shared_checkpoint_dir(spark).rstrip("/")
         self.path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-        self.last_path: str | None = None
         self._catalog: list[str] = []
 
     def location(self, name: str) -> str:
@@ -126,13 +137,24 @@ class Workspace:
         files before the write, so later stages run in parallel whatever
         the input's file layout.
         """
+        return self.stage(df, name, partition_by, partitions).table
+
+    def stage(
+        self,
+        df: DataFrame,
+        name: str,
+        partition_by: list[str] | None = None,
+        partitions: int | None = None,
+    ) -> Stage:
+        """:meth:`materialize`, with the stage's own path beside its table."""
         path = self.location(f"{name}-{uuid.uuid4().hex[:8]}")
-        self.last_path = path
-        writer = (df.repartition(partitions) if partitions else df).write.mode("overwrite")
+        frame = df.repartition(partitions) if partitions else df
+        writer = frame.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        return self.spark.read.parquet(path)
+        # the schema is known: no job reads it from a file's footer
+        return Stage(self.spark.read.schema(frame.schema).parquet(path), path)
 
     def bucketed(self, df: DataFrame, name: str, columns: list[str], buckets: int) -> DataFrame:
         """Write ``df`` bucketed by ``columns`` and return it read back: joins on

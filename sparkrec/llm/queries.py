@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from sparkrec.llm import fingerprints, jaccard, langid, mixing, packing, pii, quality, secrets, substrings, token_files, vector_codes
+from sparkrec.llm import (fingerprints, importance, jaccard, langid, mixing, packing, pii, quality, secrets, substrings, token_files,
+                          vector_codes)
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -16,6 +17,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard.op8_jaccard_join,
     "op9_pii": pii.op9_pii,
     "op10_secrets": secrets.op10_secrets,
+    "op11_importance": importance.op11_importance,
     "op12_vector_codes": vector_codes.op12_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
@@ -23,5 +25,7 @@ QUERIES = {
 ORACLE = {
     "op5_mixing": mixing.OP5_SQL,
     "op7_host_quality": quality.OP7_SQL,
+    "op11_importance": importance.op11_importance,
+    "op11_importance": importance.OP11_SQL,
     "op12_vector_codes": vector_codes.OP12_SQL,
 }

@@ -1,0 +1,101 @@
+"""Importance resampling: features, exact cut and ranks against plain Python."""
+
+import math
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from sparkrec.llm import importance as im
+from sparkrec.llm.common import scratch
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+SCHEMA = "doc_id bigint, text string, score double, rank string, file string, line int, weight int, range int"
+
+
+def features(text):
+    words = WORD.findall((text or "").translate(LOWER))
+    return words, words + [" ".join(p) for p in zip(words, words[1:])]
+
+
+def brute(rows, target, percent=25, buckets=10_000, min_words=20):
+    bucket = lambda f: zlib.crc32(f.encode()) % buckets
+    s, t = np.zeros(buckets, int), np.zeros(buckets, int)
+    for texts, counts in (([r[1] for r in rows], s), (target, t)):
+        for x in texts:
+            for f in features(x)[1]:
+                counts[bucket(f)] += 1
+    gain = [math.floor(1000 * math.log((a + 1) * (int(s.sum()) + buckets) / ((b + 1) * (int(t.sum()) + buckets)))) for a, b in zip(t.tolist(), s.tolist())]
+    out = []
+    for i, x in rows:
+        words, fs = features(x)
+        weight = sum(gain[bucket(f)] for f in fs) // len(fs) if fs else 0
+        out.append([i, len(fs), weight, weight + im.noise(i), None, len(words)])
+    pool = sorted((r for r in out if r[5] >= min_words), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for n, r in enumerate(pool[: percent * len(pool) // 100]):
+        r[4] = n + 1
+    return [tuple(r[:5]) for r in out]
+
+
+def _texts(n, rng):
+    vocab = ["".join(rng.choice(list("abcdeé0Z"), 1 + i % 5)) for i in range(60)]
+    return [" ".join(rng.choice(vocab, rng.integers(0, 60))) + "-x" for _ in range(n)]
+
+
+def test_features_of_hard_texts():
+    texts = [None, "", "a", "É-à Z9", "x" * 200 + " A " + "y" * 64 + " " + "z" * 65 + " é" * 40, "-", "ab", "cd", "w " * 3000, " lead", "trail "]
+    column = pa.array(["skip", *texts]).slice(1)
+    for size in (1, 50, 1 << 22):
+        old, im.CHUNK_BYTES = im.CHUNK_BYTES, size
+        try:
+            seen = 0
+            for start, n, words in im._parts(column):
+                marks, text = words.features()
+                for k in range(n):
+                    assert sorted(marks[text == k].tolist()) == sorted(zlib.crc32(f.encode()) for f in features(texts[start + k])[1])
+                seen += n
+            assert seen == len(texts)
+        finally:
+            im.CHUNK_BYTES = old
+
+
+@pytest.mark.parametrize("finish,range_rows", [(3, 7), (10_000, 20_000)])
+def test_equals_brute_force(spark, finish, range_rows):
+    rng = np.random.default_rng(3)
+    rows = [(i, t) for i, t in enumerate(_texts(300, rng))]
+    rows += [(None, rows[3][1]), (1000, None), (1001, ""), (1002, "w " * 20_000), (-5, "é " * 25), (-6, "é " * 25)]
+    target = [*_texts(5, rng), None]
+    docs = spark.createDataFrame([(*r, 1.0, "r", "f", 1, 2, 3) for r in rows], SCHEMA).repartition(7)
+    got = im.resample(docs, spark.createDataFrame([(t,) for t in target], "text string"), finish=finish, range_rows=range_rows)
+    assert got.columns == ["doc_id", "n_features", "weight", "score", "rank"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(brute(rows, target), key=repr)
+
+
+def test_ties_repeated_rows_and_null_ids(spark):
+    """Only some of equal rows are drawn; ranks stay gapless."""
+    text = "word " * 30
+    rows = [(7, text)] * 50 + [(None, text)] * 30 + [(8, "other " * 30)] * 2
+    docs = spark.createDataFrame([(*r, 1.0, "r", "f", 1, 2, 3) for r in rows], SCHEMA).repartition(5)
+    for percent in (0, 25, 90, 100):
+        got = im.resample(docs, spark.createDataFrame([("word",)], "text string"), percent=percent, finish=2, range_rows=6)
+        want = brute(rows, ["word"], percent)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b " * 20, 1.0, "r", "f", 1, 2, 3)], SCHEMA)
+    target = spark.createDataFrame([("a",)], "text string")
+    assert im.resample(docs.limit(0), target).count() == 0
+    assert [r["rank"] for r in im.resample(docs, target.limit(0), percent=100).collect()] == [1]
+
+
+@pytest.mark.parametrize("k", [1, 2, 250, 499, 500])
+def test_cut_is_the_exact_key(spark, k):
+    rng = np.random.default_rng(k)
+    keys = [(int(s), int(i)) for s, i in zip(rng.integers(-3, 4, 500), rng.permutation(500))]
+    ws = scratch(spark, "t-cut")
+    table = ws.materialize(spark.createDataFrame(keys, "score bigint, doc_id bigint").repartition(6), "keys")
+    assert im.cutoff(table, k, 500, ws, finish=1) == sorted((-s, i) for s, i in keys)[k - 1]

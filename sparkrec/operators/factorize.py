@@ -2,34 +2,35 @@
 
 Each half-step fixes one side's factors ``y`` and solves, for every key
 ``x`` of the other side, ``(sum y y^T + reg * n_x * I) x = sum r y`` (the
-ALS-WR objective of Spark's ALS):
-
-1. ratings joined with the fixed factors on the fixed key: the factors
-   are broadcast when their exact row count fits the budget; otherwise
-   the ratings sit in a table bucketed by (key, salt), a hot key's rows
-   spread over several salts, and only the factor table is shuffled
+ALS-WR objective of Spark's ALS). Trials that differ only in ``reg`` run
+together: the trial number is part of the factor key, so they share each scan
+of the ratings, each shuffle and each write.
+
+1. ratings joined with the fixed factors (one row per key and trial) on the
+   fixed key: the factors are broadcast when their exact row count fits the
+   budget; otherwise the ratings sit in a table bucketed by (key, salt), a hot
+   key's rows spread over several salts, and only the factor table is shuffled
    (:class:`RatingsLayout`);
-2. ``groupBy(key)`` with plain ``SUM`` aggregates of the packed upper
+2. ``groupBy(key, trial)`` with plain ``SUM`` aggregates of the packed upper
    triangle of ``y y^T`` and of ``r y``: partial aggregation on the map side,
-   so a key holding a third of all ratings still sends one row per task;
-3. a batched ``numpy`` solve of the small ``k x k`` systems in
-   ``mapInPandas`` (rows are independent; Arrow batches);
-4. a sweep's two half-steps are one job whose result, the user factors, is
-   written to the workspace (lineage cut every sweep). Item factors are
-   written only for the sweeps that are asked for.
+   so a key holding a third of all ratings still sends one row per task and trial;
+3. elimination and back substitution of the small ``k x k`` systems in column
+   expressions (the matrices are positive definite, so no pivoting is needed).
+   No row passes through Python;
+4. the user factors are written every ``cfg.write_every`` sweeps (lineage cut); the
+   sweeps between stay in one plan. Factors of sweeps that are asked for are
+   always written.
 
 No step gathers a key's ratings into one task, unlike MLlib's blocked ALS
 whose in-block for a hot item holds all of that item's ratings.
 
 Initial factors come from the md5 of ``(id, seed, j)`` (uniform in (0, 1), as
 ratings are positive, then unit length), so they do not depend on
-partitioning or engine.
+partitioning or engine, and are the same for every trial.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,11 +43,13 @@ from sparkrec.plans.session import at_least
 CODEGEN_FIELDS = "spark.sql.codegen.maxFields"
 
 
-def initial_factors(ids: DataFrame, key: str, rank: int, seed: int) -> DataFrame:
-    """``(key, f0..f{rank-1})``: unit-length vectors from id hashes."""
+def initial_factors(ids: DataFrame, key: str, rank: int, seed: int, trials: int = 1) -> DataFrame:
+    """``(key, trial, f0..f{rank-1})``: unit-length vectors from id hashes, one copy per trial."""
     raw = ids.select(F.col(key), *[unit_number(key, seed, j).alias(f"g{j}") for j in range(rank)])
     norm = F.sqrt(sum((F.col(f"g{j}") * F.col(f"g{j}") for j in range(1, rank)), F.col("g0") * F.col("g0")))
-    return raw.select(F.col(key), *[(F.col(f"g{j}") / norm).alias(f"f{j}") for j in range(rank)])
+    trial = F.explode(F.array(*[F.lit(t) for t in range(trials)])).alias("trial")
+    return raw.select(F.col(key), *[(F.col(f"g{j}") / norm).alias(f"f{j}") for j in range(rank)]).select(
+        key, trial, *[f"f{j}" for j in range(rank)])
 
 
 def _pairs(rank: int) -> list[tuple[int, int]]:
@@ -54,36 +57,32 @@ def _pairs(rank: int) -> list[tuple[int, int]]:
 
 
 def normal_equations(joined: DataFrame, key: str, rating: str, rank: int) -> DataFrame:
-    """Per key: packed ``sum y y^T``, ``sum r y`` and the rating count ``n``."""
-    aggs = [F.sum(F.col(f"f{a}") * F.col(f"f{b}")).alias(f"a{a}_{b}") for a, b in _pairs(rank)]
-    aggs += [F.sum(F.col(rating).cast("double") * F.col(f"f{a}")).alias(f"b{a}") for a in range(rank)]
-    aggs.append(F.count(F.lit(1)).alias("n"))
-    return joined.groupBy(key).agg(*aggs)
+    """Per key and trial: packed ``sum y y^T``, ``sum r y`` and the rating count ``n``."""
+    sums = [f"sum(f{a} * f{b}) AS a{a}_{b}" for a, b in _pairs(rank)]
+    sums += [f"sum(double(`{rating}`) * f{a}) AS b{a}" for a in range(rank)]
+    return joined.groupBy(key, "trial").agg(*map(F.expr, [*sums, "count(1) AS n"]))
 
 
-def _solver(key: str, rank: int, reg: float):
-    tri = _pairs(rank)
+def solved(equations: DataFrame, key: str, rank: int, penalty: str) -> DataFrame:
+    """``(key, trial, f0..f{rank-1})`` of ``(A + penalty * I) f = b`` per row.
 
-    def solve(batches):
-        eye = np.eye(rank)
-        for pdf in batches:
-            m = len(pdf)
-            if m == 0:
-                continue
-            a = np.zeros((m, rank, rank))
-            for p, q in tri:
-                v = pdf[f"a{p}_{q}"].to_numpy(dtype=float)
-                a[:, p, q] = v
-                a[:, q, p] = v
-            a += reg * pdf["n"].to_numpy(dtype=float)[:, None, None] * eye
-            b = np.stack([pdf[f"b{j}"].to_numpy(dtype=float) for j in range(rank)], axis=1)
-            x = np.linalg.solve(a, b[:, :, None])[:, :, 0]
-            out = pd.DataFrame({key: pdf[key].to_numpy()})
-            for j in range(rank):
-                out[f"f{j}"] = x[:, j]
-            yield out
-
-    return solve
+    ``a{p}_{q}``, q >= p, hold the upper triangle. Every step of the elimination is
+    one projection, so each entry is computed once.
+    """
+    keep = [f"`{key}`", "trial"]
+    rows = equations.selectExpr(
+        *keep, *[f"a{p}_{q} + {penalty} AS a{p}_{q}" if p == q else f"a{p}_{q}" for p, q in _pairs(rank)], *[f"b{p}" for p in range(rank)])
+    for j in range(rank - 1):
+        done = [f"a{p}_{q}" for p, q in _pairs(rank) if p <= j] + [f"b{p}" for p in range(j + 1)]
+        rows = rows.selectExpr(
+            *keep, *done, *[f"a{p}_{q} - a{j}_{p} / a{j}_{j} * a{j}_{q} AS a{p}_{q}" for p, q in _pairs(rank) if p > j],
+            *[f"b{p} - a{j}_{p} / a{j}_{j} * b{j} AS b{p}" for p in range(j + 1, rank)])
+    for j in reversed(range(rank)):
+        later = range(j + 1, rank)
+        left = [f"a{p}_{q}" for p, q in _pairs(rank) if p < j] + [f"b{p}" for p in range(j)]
+        rest = "".join(f" - a{j}_{q} * f{q}" for q in later)
+        rows = rows.selectExpr(*keep, *left, f"(b{j}{rest}) / a{j}_{j} AS f{j}", *[f"f{q}" for q in later])
+    return rows
 
 
 class RatingsLayout:
@@ -129,32 +128,45 @@ class RatingsLayout:
         return self.ratings.join(fixed, [self.key, "salt"]).drop("salt")
 
 
-def half_step(layout: RatingsLayout, fixed: DataFrame, solve_key: str, rating: str, rank: int, reg: float) -> DataFrame:
-    """New factors of ``solve_key`` given the factors of the layout's key."""
-    ne = normal_equations(layout.join(fixed), solve_key, rating, rank)
-    schema = f"{solve_key} int, " + ", ".join(f"f{j} double" for j in range(rank))
-    return ne.mapInPandas(_solver(solve_key, rank, reg), schema)
+def half_step(layout: RatingsLayout, fixed: DataFrame, solve_key: str, rating: str, rank: int, regs: list[float]) -> DataFrame:
+    """New factors of ``solve_key`` given the factors of the layout's key, for the trials' ``regs``."""
+    equations = normal_equations(layout.join(fixed), solve_key, rating, rank)
+    reg = "CASE trial " + " ".join(f"WHEN {t} THEN double('{float(x)!r}')" for t, x in enumerate(regs)) + " END"
+    return solved(equations, solve_key, rank, f"({reg}) * n")
+
 
+def as_feature_table(factors: DataFrame, key: str, rank: int, trial: int = 0) -> DataFrame:
+    """``(id int, features array<double>)`` of one trial."""
+    mine = factors.where(F.col("trial") == trial)
+    return mine.select(F.col(key).alias("id"), F.array(*[F.col(f"f{j}") for j in range(rank)]).alias("features"))
 
-def as_feature_table(factors: DataFrame, key: str, rank: int) -> DataFrame:
-    """``(id int, features array<double>)``."""
-    return factors.select(F.col(key).alias("id"), F.array(*[F.col(f"f{j}") for j in range(rank)]).alias("features"))
+
+def trial_scores(pairs: DataFrame, x: DataFrame, y: DataFrame, cfg, n_x: int, n_y: int) -> DataFrame:
+    """``pairs`` scored by every trial: one row per pair and trial, unknown users or items dropped.
+
+    ``x``, ``y`` are the two factor tables of one sweep, of ``n_x`` and ``n_y`` rows.
+    """
+    k, width = cfg.rank, 8 * cfg.rank + 48
+    mine = y.select(cfg.item, "trial", *[F.col(f"f{j}").alias(f"g{j}") for j in range(k)])
+    scored = pairs.join(bounded_side(x, n_x, width), cfg.user).join(bounded_side(mine, n_y, width), [cfg.item, "trial"])
+    dot = F.expr(" + ".join(f"f{j} * g{j}" for j in range(k)))
+    return scored.select(*pairs.columns, "trial", dot.alias(cfg.prediction))
 
 
 def fit_normal_equations_path(
-    ratings: DataFrame, cfg, ws, sweeps: list[int]
+    ratings: DataFrame, cfg, ws, sweeps: list[int], regs: list[float] | None = None
 ) -> tuple[dict[int, tuple[DataFrame, DataFrame]], int, int]:
-    """One run of ``max(sweeps)`` ALS sweeps, keeping the factors after each
-    count in ``sweeps`` (the run to 30 passes through 15 from the same start,
-    so a grid over iteration counts needs one run per rank and lambda).
+    """One run of ``max(sweeps)`` ALS sweeps for all ``regs`` (default: ``cfg.reg``).
 
-    Each sweep solves items from users, then users from items (as Spark ML
-    does). ``ratings`` should read a written table: every sweep reads it
-    twice. Sweep counts start at 1.
+    Keeps the user and item factors after each count in ``sweeps`` (the run to
+    30 passes through 15 from the same start); ``trial`` is the place in
+    ``regs``. So a grid needs one run per rank. Each sweep solves items from
+    users, then users from items (as Spark ML does). ``ratings`` should read a
+    written table: every sweep reads it twice. Sweep counts start at 1.
     """
     u, i, r, k = cfg.user, cfg.item, cfg.rating, cfg.rank
-    wanted = sorted(set(sweeps))
-    if not wanted or wanted[0] < 1:
+    wanted, regs = sorted(set(sweeps)), regs or [cfg.reg]
+    if not wanted or wanted[0] < 1 or cfg.write_every < 1:
         raise ValueError(f"sweep counts start at 1: {sweeps!r}")
     spark = ratings.sparkSession
     partitions = cfg.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -162,19 +174,22 @@ def fit_normal_equations_path(
     user_counts = ws.materialize(data.groupBy(u).agg(F.count(F.lit(1)).alias("n")), "als_user_counts")
     item_counts = ws.materialize(data.groupBy(i).agg(F.count(F.lit(1)).alias("n")), "als_item_counts")
     n_users, n_items = user_counts.count(), item_counts.count()
-    by_user = RatingsLayout(data, u, i, user_counts, n_users, k, partitions, cfg.salt_cap, ws)
-    by_item = RatingsLayout(data, i, u, item_counts, n_items, k, partitions, cfg.salt_cap, ws)
+    by_user = RatingsLayout(data, u, i, user_counts, n_users * len(regs), k, partitions, cfg.salt_cap, ws)
+    by_item = RatingsLayout(data, i, u, item_counts, n_items * len(regs), k, partitions, cfg.salt_cap, ws)
     path: dict[int, tuple[DataFrame, DataFrame]] = {}
     with at_least(spark, CODEGEN_FIELDS, k * (k + 1) // 2 + 3 * k + 16):
-        x, stale = ws.stage(initial_factors(user_counts.select(u), u, k, cfg.seed), "als_x0")
+        x, stale = ws.stage(initial_factors(user_counts.select(u), u, k, cfg.seed, len(regs)), "als_x0")
         for sweep in range(1, wanted[-1] + 1):
-            y = half_step(by_user, x, i, r, k, cfg.reg)
+            y = half_step(by_user, x, i, r, k, regs)
             if sweep in wanted:
                 y = ws.materialize(y, f"als_y{sweep}")
-            x, written = ws.stage(half_step(by_item, y, u, r, k, cfg.reg), f"als_x{sweep}")
-            if stale:  # the sweep before is no longer read
+            x = half_step(by_item, y, u, r, k, regs)
+            if sweep not in wanted and sweep % cfg.write_every:
+                continue
+            x, written = ws.stage(x, f"als_x{sweep}")
+            if stale:  # the table written before is no longer read
                 ws.remove(stale)
             stale = None if sweep in wanted else written
             if sweep in wanted:
-                path[sweep] = (as_feature_table(x, u, k), as_feature_table(y, i, k))
+                path[sweep] = (x, y)
     return path, n_users, n_items

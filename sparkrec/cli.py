@@ -73,7 +73,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--users", help="CSV with a user_id column: lists for those users (recommend)")
     p.add_argument("-k", type=int, default=10)
     p.add_argument("--predictions-out", help="write every scored pair here (recommend)")
-    p.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    p.add_argument("--format", default="csv", choices=["csv", "parquet", "bucketed"], help="of --predictions-out and --predictions-in")
+    p.add_argument("--predictions-in", help="rank the lists from predictions written before, without a fit (recommend)")
+    p.add_argument("--rejects-out", help="write the lines of --interactions that do not parse whole here (Parquet)")
     p.add_argument("--out", help="write the job's result table here (Parquet)")
     p.add_argument("--local", type=int, help="run on local[N] instead of the submitted session")
     args = p.parse_args(argv)
@@ -81,12 +83,16 @@ def main(argv: list[str] | None = None) -> int:
     from sparkrec.operators.recommend import title_list
     from sparkrec.plans import jobs
     from sparkrec.plans.session import Workspace
-    from sparkrec.sources.io import read_users_csv
+    from sparkrec.sources.io import read_rejects, read_users_csv
 
     spark = _session(args)
     inter, titles = _inputs(spark, args)
     cfg = _config(args)
     ws = Workspace(spark, f"cli-{args.job}")
+    if args.rejects_out:
+        if not args.interactions:
+            p.error("--rejects-out needs --interactions")
+        read_rejects(spark, args.interactions).write.mode("overwrite").parquet(args.rejects_out)
     try:
         if args.job == "evaluate":
             result = jobs.evaluate_job(inter, ws, cfg, args.weights, args.split_seed)
@@ -104,9 +110,12 @@ def main(argv: list[str] | None = None) -> int:
             users = None
             if args.users:
                 users = read_users_csv(spark, args.users)
-            result = jobs.recommend_job(
-                inter, titles, ws, cfg, args.k, args.user, args.predictions_out, args.format, users
-            )
+            if args.predictions_in:
+                result = jobs.lists_from_predictions(spark, args.predictions_in, args.format, titles, args.k, args.user)
+            else:
+                result = jobs.recommend_job(
+                    inter, titles, ws, cfg, args.k, args.user, args.predictions_out, args.format, users
+                )
         if args.out:
             result.write.mode("overwrite").parquet(args.out)
         elif args.job == "recommend" and args.user is None:

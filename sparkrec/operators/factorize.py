@@ -14,9 +14,11 @@ of the ratings, each shuffle and each write.
 2. ``groupBy(key, trial)`` with plain ``SUM`` aggregates of the packed upper
    triangle of ``y y^T`` and of ``r y``: partial aggregation on the map side,
    so a key holding a third of all ratings still sends one row per task and trial;
-3. elimination and back substitution of the small ``k x k`` systems in column
-   expressions (the matrices are positive definite, so no pivoting is needed).
-   No row passes through Python;
+3. the small ``k x k`` systems: up to ``EXPRESSION_RANK`` by elimination and back
+   substitution in column expressions (the matrices are positive definite, so no
+   pivoting is needed; no row passes through Python), above it, where those
+   expressions outgrow compiled code, by a batched ``numpy`` solve in
+   ``mapInPandas``. Both give the same factors up to rounding;
 4. the user factors are written every ``cfg.write_every`` sweeps (lineage cut); the
    sweeps between stay in one plan. Factors of sweeps that are asked for are
    always written.
@@ -31,6 +33,8 @@ partitioning or engine, and are the same for every trial.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +45,8 @@ from sparkrec.plans.session import at_least
 # The sums of rank 13 and above are more columns than whole-stage code
 # generation takes by default.
 CODEGEN_FIELDS = "spark.sql.codegen.maxFields"
+# Up to this rank the small systems are solved in column expressions.
+EXPRESSION_RANK = 5
 
 
 def initial_factors(ids: DataFrame, key: str, rank: int, seed: int, trials: int = 1) -> DataFrame:
@@ -63,12 +69,37 @@ def normal_equations(joined: DataFrame, key: str, rating: str, rank: int) -> Dat
     return joined.groupBy(key, "trial").agg(*map(F.expr, [*sums, "count(1) AS n"]))
 
 
-def solved(equations: DataFrame, key: str, rank: int, penalty: str) -> DataFrame:
-    """``(key, trial, f0..f{rank-1})`` of ``(A + penalty * I) f = b`` per row.
+def solved(equations: DataFrame, key: str, rank: int, regs: list[float], expression_rank: int = EXPRESSION_RANK) -> DataFrame:
+    """``(key, trial, f0..f{rank-1})`` of ``(A + reg * n * I) f = b`` per row, ``reg`` by trial."""
+    if rank <= expression_rank:
+        reg = "CASE trial " + " ".join(f"WHEN {t} THEN double('{float(x)!r}')" for t, x in enumerate(regs)) + " END"
+        return _eliminated(equations, key, rank, f"({reg}) * n")
+    schema = f"`{key}` int, trial int, " + ", ".join(f"f{j} double" for j in range(rank))
+    return equations.mapInPandas(_batched(key, rank, regs), schema)
 
-    ``a{p}_{q}``, q >= p, hold the upper triangle. Every step of the elimination is
-    one projection, so each entry is computed once.
-    """
+
+def _batched(key: str, rank: int, regs: list[float]):
+    tri = _pairs(rank)
+    up = np.array([p for p, _ in tri]), np.array([q for _, q in tri])
+
+    def solve(batches):
+        for rows in batches:
+            a = np.zeros((len(rows), rank, rank))
+            entries = rows[[f"a{p}_{q}" for p, q in tri]].to_numpy(float)
+            a[:, up[0], up[1]] = a[:, up[1], up[0]] = entries
+            a[:, range(rank), range(rank)] += (np.array(regs)[rows["trial"].to_numpy()] * rows["n"].to_numpy(float))[:, None]
+            x = np.linalg.solve(a, rows[[f"b{j}" for j in range(rank)]].to_numpy(float)[:, :, None])[:, :, 0]
+            out = pd.DataFrame(x, columns=[f"f{j}" for j in range(rank)])
+            out.insert(0, key, rows[key].to_numpy())
+            out.insert(1, "trial", rows["trial"].to_numpy())
+            yield out
+
+    return solve
+
+
+def _eliminated(equations: DataFrame, key: str, rank: int, penalty: str) -> DataFrame:
+    """``a{p}_{q}``, q >= p, hold the upper triangle. Every step of the elimination is
+    one projection, so each entry is computed once."""
     keep = [f"`{key}`", "trial"]
     rows = equations.selectExpr(
         *keep, *[f"a{p}_{q} + {penalty} AS a{p}_{q}" if p == q else f"a{p}_{q}" for p, q in _pairs(rank)], *[f"b{p}" for p in range(rank)])
@@ -131,8 +162,7 @@ class RatingsLayout:
 def half_step(layout: RatingsLayout, fixed: DataFrame, solve_key: str, rating: str, rank: int, regs: list[float]) -> DataFrame:
     """New factors of ``solve_key`` given the factors of the layout's key, for the trials' ``regs``."""
     equations = normal_equations(layout.join(fixed), solve_key, rating, rank)
-    reg = "CASE trial " + " ".join(f"WHEN {t} THEN double('{float(x)!r}')" for t, x in enumerate(regs)) + " END"
-    return solved(equations, solve_key, rank, f"({reg}) * n")
+    return solved(equations, solve_key, rank, regs)
 
 
 def as_feature_table(factors: DataFrame, key: str, rank: int, trial: int = 0) -> DataFrame:

@@ -40,7 +40,11 @@ SMALL_GRID_ITERATIONS = (1, 2)
 GRID_THREADS = 4
 # One row in so many has a null flag, NaN hours or null hours in the edge query.
 EDGE_EVERY = (97, 991, 89)
+# One line in so many has a bad flag, bad hours, a bad user key or a bad item key.
+REJECT_EVERY = (97, 101, 89, 83)
 DIGITS = 6
+# Scores of full runs: 60 half-steps add the same numbers in another order than SQL does.
+FULL_DIGITS = 4
 
 
 def _ws(spark: SparkSession) -> Workspace:
@@ -58,6 +62,24 @@ def q_interactions_csv(spark, d):
     return io.read_interactions_csv(spark, path)
 
 
+def q_interactions_rejects(spark, d):
+    """Rejects of a review log with a bad flag, hours, user key or item key in some lines."""
+    ws = _ws(spark)
+    path = ws.location("interactions_bad_csv")
+    io.write_csv(tables.faulty_csv_frame(spark, d, REJECT_EVERY), path)
+    fields = ["app_id", "date", "is_recommended", "hours", "user_id"]
+    return io.read_rejects(spark, path).select("reason", F.col("record").isNotNull().alias("has_record"), *fields)
+
+
+def q_predictions_bucketed(spark, d):
+    """The item-mean predictor's scores through the bucketed predictions table: one user's rows, ranked."""
+    scored, ws = _scored_rated_pairs(spark, d)
+    path = ws.location("predictions_bucketed")
+    io.write_predictions(scored, path, "bucketed")
+    out = jobs.lists_from_predictions(spark, path, "bucketed", tables.titles(spark, d), TOP_K, ONE_USER)
+    return out.withColumn("prediction", _rounded("prediction", FULL_DIGITS))
+
+
 def q_titles_csv_inferred(spark, d):
     ws = _ws(spark)
     path = ws.location("titles_csv")
@@ -233,8 +255,8 @@ def _als_ratings(spark, d) -> tuple[DataFrame, Workspace]:
     return ws.materialize(_ratings(spark, d, ws), "ratings"), ws
 
 
-def _rounded(name: str):
-    return F.round(name, DIGITS).alias(name)
+def _rounded(name: str, digits: int = DIGITS):
+    return F.round(F.col(name).cast("double"), digits).alias(name)
 
 
 def q_als2_factors(spark, d):
@@ -272,7 +294,7 @@ def q_als2_grid(spark, d):
 
 def q_als_scores(spark, d):
     ratings, ws = _als_ratings(spark, d)
-    return als.score(als.fit(ratings, REFERENCE_ALS, ws), ratings)
+    return als.score(als.fit(ratings, REFERENCE_ALS, ws), ratings).withColumn("prediction", _rounded("prediction", FULL_DIGITS))
 
 
 def q_als_scored_pairs(spark, d):
@@ -281,7 +303,7 @@ def q_als_scored_pairs(spark, d):
 
 
 def q_als_eval(spark, d):
-    return jobs.evaluate_job(tables.interactions(spark, d), _ws(spark), REFERENCE_ALS)
+    return jobs.evaluate_job(tables.interactions(spark, d), _ws(spark), REFERENCE_ALS).select("split", _rounded("rmse"), "n")
 
 
 def q_als_eval_rows(spark, d):
@@ -290,7 +312,8 @@ def q_als_eval_rows(spark, d):
 
 def q_als_recommend(spark, d):
     ws = _ws(spark)
-    return jobs.recommend_job(tables.interactions(spark, d), tables.titles(spark, d), ws, REFERENCE_ALS, TOP_K)
+    out = jobs.recommend_job(tables.interactions(spark, d), tables.titles(spark, d), ws, REFERENCE_ALS, TOP_K)
+    return out.withColumn("prediction", _rounded("prediction", FULL_DIGITS))
 
 
 def q_als_list_lengths(spark, d):
@@ -300,15 +323,16 @@ def q_als_list_lengths(spark, d):
 
 def q_als_recommend_user(spark, d):
     ws = _ws(spark)
-    return jobs.recommend_job(
+    out = jobs.recommend_job(
         tables.interactions(spark, d), tables.titles(spark, d), ws, REFERENCE_ALS, TOP_K, user_id=ONE_USER,
-        predictions_path=ws.location("predictions_csv"),
+        predictions_path=ws.location("predictions"), predictions_format="bucketed",
     )
+    return out.withColumn("prediction", _rounded("prediction", FULL_DIGITS))
 
 
 def q_als_grid(spark, d):
     """All trials of the tuning job."""
-    return jobs.tune_job(spark, tables.interactions(spark, d), _ws(spark), REFERENCE_ALS, parallelism=GRID_THREADS)[0]
+    return _rounded_trials(jobs.tune_job(spark, tables.interactions(spark, d), _ws(spark), REFERENCE_ALS, parallelism=GRID_THREADS)[0])
 
 
 def q_als_properties(spark, d):
@@ -321,6 +345,8 @@ def q_als_properties(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interactions": q_interactions,
     "interactions_csv": q_interactions_csv,
+    "interactions_rejects": q_interactions_rejects,
+    "predictions_bucketed": q_predictions_bucketed,
     "titles_csv_inferred": q_titles_csv_inferred,
     "titles_csv": q_titles_csv,
     "item_avg_hours": q_item_avg_hours,

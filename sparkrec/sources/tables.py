@@ -76,6 +76,20 @@ def interactions_csv_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def faulty_csv_frame(spark: SparkSession, sf_dir: str, every: tuple[int, int, int, int]) -> DataFrame:
+    """The review-log CSV with fields that do not parse: a flag where the item key leaves
+    remainder 1 by the first number, hours (2, second), the user key (3, third), the item key (4, fourth)."""
+    flag, hours, user, item = every
+    frame = interactions_csv_frame(spark, sf_dir)
+    at = lambda key, n, rest: F.col(key) % F.lit(n) == F.lit(rest)
+    text = {c: F.col(c).cast("string") for c in frame.columns}
+    text["is_recommended"] = F.when(at("app_id", flag, 1), "maybe").otherwise(text["is_recommended"])
+    text["hours"] = F.when(at("app_id", hours, 2), "a lot").otherwise(text["hours"])
+    text["app_id"] = F.when(at("app_id", item, 4), F.concat(F.lit("i"), text["app_id"])).otherwise(text["app_id"])
+    text["user_id"] = F.when(at("user_id", user, 3), F.concat(F.lit("u"), text["user_id"])).otherwise(text["user_id"])
+    return frame.select(*[text[c].alias(c) for c in frame.columns])
+
+
 def titles_csv_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles with the CSV's column names plus a few more, as a titles file has."""
     return table(spark, sf_dir, "part").select(

@@ -29,11 +29,11 @@ def test_query_matches_duckdb(spark, name):
     assert status == "ok", status
 
 
-def test_every_query_has_oracle_or_is_als():
+def test_every_query_has_an_oracle():
     from __spark_entry__ import oracle_sql, queries
 
     missing = {n for n in set(queries()) - set(oracle_sql()) if not LLM.match(n)}
-    assert missing == {"als_scores", "als_eval", "als_recommend", "als_recommend_user", "als_grid"}
+    assert not missing
 
 
 def test_entry_runs(spark):

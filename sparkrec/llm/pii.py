@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from sparkrec.llm.common import documents, let, pick
 
 ROUNDS = 8
-KEY = "pseudonyms"
+# The registered query's key: its result must be repeatable. Real corpora need a key of their own.
+QUERY_KEY = "pseudonyms"
 # Days from 1900-01-01 to 2099-12-31: 17 * 4297.
 DAY_RADICES = (17, 4297)
 
@@ -98,6 +99,24 @@ def mask_card(s: Column, key: str) -> Column:
     return let(digits_of(s), masked)
 
 
+def is_card(digits: Column) -> Column:
+    return F.length(digits).between(13, 19) & (luhn_sum(digits) % 10 == 0) & ~digits.rlike(r"^(\d)\1*$")
+
+
+def card_part(s: Column) -> Column:
+    """The card in a run of digit groups: all of it, or else the longest stretch of whole groups that is one (the first of equal ones)."""
+
+    def longest(tokens):
+        last = F.floor((F.size(tokens) - 1) / 2).cast("int")
+        cut = lambda i, j: F.array_join(F.slice(tokens, 2 * i + 1, 2 * (j - i) + 1), "")
+        runs = F.flatten(F.transform(F.sequence(F.lit(0), last), lambda i: F.transform(F.sequence(i, last), lambda j: cut(i, j))))
+        cards = F.filter(runs, lambda run: let(digits_of(run), is_card))
+        size = lambda run: F.length(digits_of(run))
+        return F.aggregate(cards, F.lit(None).cast("string"), lambda best, run: F.when(best.isNull() | (size(run) > size(best)), run).otherwise(best))
+
+    return F.when(let(digits_of(s), is_card), s).otherwise(let(F.regexp_extract_all(s, F.lit(r"\d+|[ -]"), F.lit(0)), longest))
+
+
 def mask_ip(s: Column, key: str) -> Column:
     def masked(o):
         octet = lambda i: F.get(o, F.lit(i)).cast("bigint")
@@ -120,12 +139,6 @@ def mask_ssn(s: Column, key: str) -> Column:
     return let(F.split(s, "-"), masked)
 
 
-def _date_format(s: Column) -> Column:
-    return (
-        F.when(s.rlike(r"^\d{4}-"), "yyyy-MM-dd").when(s.rlike(r"^\d{4}/"), "yyyy/MM/dd").when(s.rlike(r"\."), "dd.MM.yyyy").otherwise("MM/dd/yyyy")
-    )
-
-
 def parse_date(s: Column) -> Column:
     part = lambda pos, n: F.substring(s, pos, n)
     iso = (
@@ -133,7 +146,8 @@ def parse_date(s: Column) -> Column:
         .when(s.rlike(r"\."), F.concat_ws("-", part(7, 4), part(4, 2), part(1, 2)))
         .otherwise(F.concat_ws("-", part(7, 4), part(1, 2), part(4, 2)))
     )
-    return iso.try_cast("date")
+    day_first = F.when(s.rlike(r"^\d{2}/"), F.concat_ws("-", part(7, 4), part(4, 2), part(1, 2)))
+    return F.coalesce(iso.try_cast("date"), day_first.try_cast("date"))
 
 
 def mask_date(s: Column, key: str) -> Column:
@@ -142,7 +156,8 @@ def mask_date(s: Column, key: str) -> Column:
     out = feistel(F.floor(day / low), day % low, F.lit(DAY_RADICES[0]), F.lit(low), F.lit("date"), key)
     new_day = let(out, lambda v: F.date_add(F.lit("1900-01-01").cast("date"), (v["a"] * low + v["b"]).cast("int")))
     return let(new_day, lambda d: F.when(s.rlike(r"^\d{4}-"), F.date_format(d, "yyyy-MM-dd")).when(s.rlike(r"^\d{4}/"), F.date_format(d, "yyyy/MM/dd"))
-               .when(s.rlike(r"\."), F.date_format(d, "dd.MM.yyyy")).otherwise(F.date_format(d, "MM/dd/yyyy")))
+               .when(s.rlike(r"\."), F.date_format(d, "dd.MM.yyyy"))
+               .when(F.substring(s, 1, 2).cast("int") > 12, F.date_format(d, "dd/MM/yyyy")).otherwise(F.date_format(d, "MM/dd/yyyy")))
 
 
 def mask_email(s: Column, key: str) -> Column:
@@ -156,14 +171,13 @@ def kind_of(s: Column) -> Column:
     octets_ok = F.forall(F.split(s, r"\."), lambda o: o.cast("int") <= 255)
     d = parse_date(s)
     ssn_ok = ~s.rlike(r"^(?:000|666|9)") & ~s.rlike(r"-00-") & ~s.rlike("0000$")
-    card_ok = let(digits_of(s), lambda x: (luhn_sum(x) % 10 == 0) & ~x.rlike(r"^(\d)\1*$"))
     return (
         F.when(s.contains("@"), "email")
         .when(s.rlike(whole(IPV4)), F.when(octets_ok, "ip"))
         .when(s.rlike(whole(DATE)), F.when((d >= F.lit("1900-01-01").cast("date")) & (d <= F.lit("2099-12-31").cast("date")), "date"))
         .when(s.rlike(whole(SSN)), F.when(ssn_ok, "ssn"))
         .when(s.rlike(whole(PHONE)), "phone")
-        .otherwise(F.when(card_ok, "card"))
+        .otherwise(F.when(card_part(s).isNotNull(), "card"))
     )
 
 
@@ -172,12 +186,14 @@ def pseudonym(s: Column, kind: Column, key: str) -> Column:
         F.when(kind == "email", mask_email(s, key)).when(kind == "ip", mask_ip(s, key)).when(kind == "date", mask_date(s, key))
         .when(kind == "ssn", mask_ssn(s, key))
         .when(kind == "phone", let(digits_of(s), lambda d: refill(s, F.concat(F.substring(d, F.lit(1), F.length(d) - 10), mask_digits(F.substring(d, F.length(d) - 9, F.lit(10)), F.lit("phone"), key)))))
-        .when(kind == "card", mask_card(s, key)).otherwise(s)
+        .when(kind == "card", let(card_part(s), lambda part: let(F.instr(s, part), lambda at: F.concat(
+            F.substring(s, F.lit(1), at - 1), mask_card(part, key), F.substring(s, at + F.length(part), F.length(s))))))
+        .otherwise(s)
     )
 
 
-def pseudonymise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key: str = KEY) -> DataFrame:
-    """Per document: ``doc_id``, the masked ``text`` and ``n_<kind>`` counts."""
+def pseudonymise(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: ``doc_id``, the masked ``text`` and ``n_<kind>`` counts. Whoever has ``key`` can undo the permutations."""
     found = F.when(F.col("text").rlike("[0-9@]"), F.regexp_extract_all(F.col("text"), F.lit(ANY), F.lit(0)))
     typed = F.transform(found, lambda s: F.struct(s.alias("s"), kind_of(s).alias("kind")))
     hits = pick(docs, doc_id=doc_id, text=text).withColumn("hits", typed)
@@ -194,4 +210,4 @@ def pseudonymise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ke
 
 
 def op9_pii(spark, sf_dir: str) -> DataFrame:
-    return pseudonymise(documents(spark, sf_dir))
+    return pseudonymise(documents(spark, sf_dir), QUERY_KEY)

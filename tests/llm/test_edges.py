@@ -10,7 +10,7 @@ from sparkrec.llm import fingerprints, jaccard, langid, mixing, packing, pii, qu
 from sparkrec.llm.common import scratch
 
 LONG = " ".join(f"word{i % 977} tail{i % 13}" for i in range(30_000))
-SCHEMA = "doc_id bigint, text string, lang string, source string, size bigint, target double, bucket string, node string, key string, row string"
+SCHEMA = "doc_id bigint, text string, lang string, source string, size bigint, target double, bucket string, node string, key string, row string, kept_id bigint, kept_key bigint"
 ROWS = [
     (1, "the quick brown fox jumps over the lazy dog and runs far away from here", "en", "a"),
     (1, "the quick brown fox jumps over the lazy dog and runs far away from here", "en", "a"),
@@ -26,7 +26,7 @@ ROWS = [
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    rows = [(*r, 5, 0.5, "b", "n", "k", "r") for r in ROWS]
+    rows = [(*r, 5, 0.5, "b", "n", "k", "r", 1, 2) for r in ROWS]
     return spark.createDataFrame(rows, SCHEMA).repartition(3)
 
 
@@ -50,7 +50,7 @@ OPERATORS = {
     "quality": quality.host_quality,
     "jaccard": jaccard.jaccard_components,
     "one_of_each": jaccard.one_of_each_group,
-    "pii": pii.pseudonymise,
+    "pii": lambda d: pii.pseudonymise(d, "k"),
     "secrets": lambda d: secrets.scan(d, secrets.fit(d)),
     "redaction": lambda d: secrets.without_secrets(d, secrets.fit(d)),
 }

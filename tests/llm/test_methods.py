@@ -331,21 +331,21 @@ CASES = [
 
 def test_validated_values_keep_their_format(spark):
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CASES)], "doc_id int, text string")
-    got = {r["doc_id"]: r for r in pii.pseudonymise(docs).collect()}
+    got = {r["doc_id"]: r for r in pii.pseudonymise(docs, "k").collect()}
     for i, (text, kind) in enumerate(CASES):
         assert got[i]["text"] != text and got[i][f"n_{kind}"] == 1, text
         if kind != "email":
             assert re.sub(r"\d+", "0", got[i]["text"]) == re.sub(r"\d+", "0", text)
-    again = {r["doc_id"]: r for r in pii.pseudonymise(docs.withColumn("text", F.col("text"))).collect()}
+    again = {r["doc_id"]: r for r in pii.pseudonymise(docs.withColumn("text", F.col("text")), "k").collect()}
     assert {i: r["text"] for i, r in again.items()} == {i: r["text"] for i, r in got.items()}
-    once_more = pii.pseudonymise(spark.createDataFrame([(0, got[0]["text"]), (5, got[5]["text"])], "doc_id int, text string"))
+    once_more = pii.pseudonymise(spark.createDataFrame([(0, got[0]["text"]), (5, got[5]["text"])], "doc_id int, text string"), "k")
     assert all(sum(r[f"n_{k}"] for k in pii.KINDS) == 1 for r in once_more.collect())  # pseudonyms are valid values
 
 
 def test_invalid_values_stay(spark):
     texts = ["n 4929348385146307", "ip 300.1.1.1", "on 2021-02-30", "ssn 000-12-3456", "1234", "version 1.2.3", "a@b", "2021-13-01"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
-    assert [r["text"] for r in pii.pseudonymise(docs).orderBy("doc_id").collect()] == texts
+    assert [r["text"] for r in pii.pseudonymise(docs, "k").orderBy("doc_id").collect()] == texts
 
 
 def test_permutation_is_inverted_by_its_key(spark):
@@ -412,3 +412,56 @@ def test_budgets_fill_up():
     got = mixing.budgets(sizes)
     assert abs(sum(t for *_, t, _ in got) - sum(n for _, n in sizes)) < 1e-6
     assert all(t <= 3 * n for _, n, t, _ in got) and got[-1][0] is None
+
+
+def test_cards_beside_numbers_and_day_first_dates(spark):
+    """No validated value stays in clear when another number stands beside it, or when the day comes first."""
+    cards = ["12 4111 1111 1111 1111", "4111 1111 1111 1111 999", "4111111111111111 12", "order 7 4111-1111-1111-1111.", "4111 1111 1111 1111 4111 1111 1111 1111"]
+    dates = ["25/12/2020", "on 31/01/1999, then", "12/25/2020"]
+    plain = ["32/13/2020", "1234 5678 9012 3456", "1111 1111 1111 1111", "99/99/2020"]
+    texts = cards + dates + plain
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = [r for r in pii.pseudonymise(docs, "k").orderBy("doc_id").collect()]
+    for r, text in zip(got, texts):
+        shape = re.sub(r"\d", "9", r["text"])
+        assert shape == re.sub(r"\d", "9", text)
+        if text in plain:
+            assert r["text"] == text
+        elif text in dates:
+            assert r["n_date"] == 1 and r["text"] != text
+        else:
+            assert r["n_card"] >= 1 and "4111" not in r["text"]
+    # the number beside a card stays, and the card has the pseudonym it has alone
+    assert got[0]["text"].startswith("12 ") and got[1]["text"].endswith(" 999") and got[2]["text"].endswith(" 12")
+    assert len({re.sub(r"\D", "", t)[:16] for t in (got[1]["text"], got[2]["text"])}) == 1
+    assert got[0]["text"][3:] == got[1]["text"][:19] and got[4]["text"] == got[1]["text"][:19] + " " + got[1]["text"][:19]
+    day, month = got[5]["text"][:2], got[5]["text"][3:5]
+    assert 1 <= int(day) <= 31 and 1 <= int(month) <= 12
+
+
+def test_spans_with_the_same_low_hash_bits_are_told_apart(monkeypatch):
+    """Spans of one anchor whose hashes agree in 32 bits only: nothing is removed by them."""
+    import numpy as np
+    import pyarrow as pa
+
+    real = substrings.spans_of
+
+    def colliding(data):
+        gram, first, count, offset, whole, left, right = real(data)
+        return gram, first, count, offset, whole << np.uint64(32), left, right
+
+    monkeypatch.setattr(substrings, "spans_of", colliding)
+    rng = np.random.default_rng(1)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+    text = lambda: rng.choice(letters, 30).tobytes().decode() + "the shared passage!!" + rng.choice(letters, 30).tobytes().decode()
+    texts = [text() for _ in range(40)]
+    removed = {}
+    for name, rows in (("unlike", texts), ("copies", [texts[0]] * 2)):
+        sent = []
+        for i, t in enumerate(rows):  # one batch a document: equal spans meet in the match
+            batch = pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([i], pa.int64()), pa.array([t])], names=["doc_id", "tkey", "text"])
+            sent += list(substrings._send_spans(1)([batch]))
+        table = pa.Table.from_batches(sent)
+        found = substrings._match_spans(table)
+        removed[name] = [r for r in found.to_pylist() if r["ask"] is None]
+    assert removed["unlike"] == [] and {r["doc_id"] for r in removed["copies"]} == {1}

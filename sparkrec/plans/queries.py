@@ -2,10 +2,9 @@
 
 Every callable takes ``(spark, sf_dir)`` and returns a DataFrame whose
 columns match the SQL of :mod:`sparkrec.plans.oracle`. The ALS solver is
-compared by value over two sweeps at rank 2, which SQL can say in full
-(``als2_*``); full runs are compared by what SQL can tell of them (pairs
-scored, rows per split, list lengths, the trials of the grid) and by a
-property table. Other queries that need a score use the item-mean predictor.
+compared by value: two sweeps at rank 2 written out (``als2_*``), and full runs,
+the whole grid included, by a recursive query. A property table tells what SQL
+does not say of a run. Other queries that need a score use the item-mean predictor.
 
 A query's stages stay until the process ends: its rows are read from them.
 """

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from sparkrec.llm import (fingerprints, html_blocks, importance, jaccard, langid, mixing, packing, pii, quality, secrets, substrings, token_files,
                           vector_codes)
 
@@ -20,7 +19,6 @@ QUERIES = {
     "op11_importance": importance.op11_importance,
     "op12_vector_codes": vector_codes.op12_vector_codes,
     "op13_main_text": html_blocks.op13_main_text,
-    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {

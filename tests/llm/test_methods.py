@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +93,35 @@ def test_shared_passages_of_a_hot_group(spark, monkeypatch):
     assert got == _kept([(i, t.encode()) for i, t in texts])
 
 
+def test_equal_hashes_of_other_bytes_remove_nothing(spark):
+    """With no bit of the span's hash compared, all spans of one anchor collide: the bytes decide."""
+    rng = np.random.default_rng(5)
+    noise = lambda n: "".join(rng.choice(list("abcdefghijkl é"), n))
+    passage, long = noise(20), noise(400)
+    texts = [(i, noise(30) + passage + noise(30)) for i in range(40)]
+    texts += [(100, long), (101, long), (102, noise(90) + long[100:300]), (103, long[:200] + noise(60))]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    want = _kept([(i, t.encode()) for i, t in texts])
+    assert sum(n for d, (n, *_) in want.items() if d < 100) == 0 and want[101][0] > 0
+    for bits, parts in ((0, 1), (0, 30), (64, 30)):
+        got = substrings.remove_repeats(docs.repartition(parts), hash_bits=bits).collect()
+        assert {r["doc_id"]: (r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == want
+
+
+def test_sorts_are_cut_between_groups(monkeypatch):
+    monkeypatch.setattr(substrings, "SORT_STRINGS", 25)
+    rng = np.random.default_rng(6)
+    ask = np.sort(rng.integers(0, 12, 60))
+    data = [bytes(rng.integers(97, 99, 50 + int(n)).astype(np.uint8)) for n in rng.integers(0, 5, 60)]
+    table = pa.table({"ask": ask, "salt": pa.array(np.full(60, -1), pa.int32()), "doc_id": np.arange(60), "tkey": np.arange(60),
+                      "start": pa.array(np.zeros(60), pa.int32()), "bytes": data})
+    sizes, met = [], []
+    monkeypatch.setattr(substrings, "sorted_strings", lambda t: (sizes.append(substrings.strings_in(t)), met.append(t.column("ask").to_pylist()), [])[2])
+    assert not list(substrings._sort_strings(table.to_batches(max_chunksize=7)))
+    assert sum(met, []) == ask.tolist() and not any(a[-1] == b[0] for a, b in zip(met, met[1:]))
+    assert len(sizes) > 2 and max(sizes) <= 25 + 2 * 5 * max(np.bincount(ask))
+
+
 def test_suffix_sort_orders_and_verifies():
     rng = np.random.default_rng(2)
     data = rng.choice(np.frombuffer(b"ab", np.uint8), 3_000)

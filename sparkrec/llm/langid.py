@@ -8,6 +8,10 @@ expectation maximisation over all segmentations (forward-backward), mixed with
 the same share of the uniform distribution in every language, so a piece that
 no language has used speaks for none of them, however much text each taught.
 
+A word whose plain probability could leave the range of a double (long runs of
+characters that the vocabulary lacks) is summed with a factor for each
+character, which its logarithm takes off again.
+
 Training uses at most ``docs_per_lang`` labelled documents of each language,
 those with the smallest hashes of their ids (a documented bound; their words
 are counted and the expected counts summed by Spark, and the driver gets one
@@ -47,6 +51,7 @@ UNIFORM = 0.02
 LONGEST = 64
 CACHE_WORDS = 500_000
 CHUNK_CHARS = 2_000_000
+TINY, RARE, LEAST_LOG = 1e-300, 1e-8, -500.0
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 _LATIN_WORD = re.compile("[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+")
@@ -131,32 +136,66 @@ class Pieces:
         return np.vstack([p, *more, np.zeros((1, p.shape[1]))])
 
 
-def forward(spans: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
-    """``alpha[e][word, language]``: probability of the first ``e`` characters over all segmentations."""
+def tilts(spans: list[np.ndarray], rows: np.ndarray) -> np.ndarray | None:
+    """Logarithms of factors ``[position, word, language]`` that keep a word's sums within range; None if no word needs any.
+
+    A character gets one over its probability if it is under ``RARE`` (bytes of
+    one that the vocabulary lacks, so no longer piece has it), or over its root:
+    sums stay between the root of the characters' product and its inverse.
+    """
+    single = spans[0].T
+    least = np.log(np.maximum(rows[:-1].min(axis=1), TINY))
+    needed = least[single].sum(axis=0) < LEAST_LOG
+    if not needed.any():
+        return None
+    p = np.maximum(rows[single], TINY)
+    return np.where(p < RARE, -1.0, -0.5) * np.log(p) * needed[None, :, None]
+
+
+def factors(tilt: np.ndarray | None):
+    """``(s, e)`` to the factor of a piece from ``s`` to ``e``."""
+    if tilt is None:
+        return lambda s, e: 1.0
+    sums = np.concatenate([np.zeros((1, *tilt.shape[1:])), np.cumsum(tilt, axis=0)])
+    return lambda s, e: np.exp(np.minimum(sums[e] - sums[s], 700.0))
+
+
+def forward(spans: list[np.ndarray], rows: np.ndarray, tilt: np.ndarray | None = None) -> np.ndarray:
+    """``alpha[e][word, language]``: probability of the first ``e`` characters over all segmentations, times their factors."""
     count, n = spans[0].shape
+    by = factors(tilt)
     alpha = np.zeros((n + 1, count, rows.shape[1]))
     alpha[0] = 1.0
     for e in range(1, n + 1):
         for k in range(min(len(spans), e)):
-            alpha[e] += alpha[e - k - 1] * rows[spans[k][:, e - k - 1]]
+            s = e - k - 1
+            alpha[e] += alpha[s] * rows[spans[k][:, s]] * by(s, e)
     return alpha
 
 
+def log_probability(spans: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """``[word, language]`` logarithm of the sum over all segmentations."""
+    tilt = tilts(spans, rows)
+    total = np.log(np.maximum(forward(spans, rows, tilt)[-1], TINY))
+    return total if tilt is None else total - tilt.sum(axis=0)
+
+
 def expected_counts(spans: list[np.ndarray], rows: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Expected uses of each row over all segmentations; ``weight[word, language]`` are word counts."""
-    alpha = forward(spans, rows)
+    tilt = tilts(spans, rows)
+    by, alpha = factors(tilt), forward(spans, rows, tilt)
     n = len(alpha) - 1
     beta = np.zeros_like(alpha)
     beta[n] = 1.0
     for s in range(n - 1, -1, -1):
         for k in range(min(len(spans), n - s)):
-            beta[s] += beta[s + k + 1] * rows[spans[k][:, s]]
-    scale = weight / np.maximum(alpha[n], 1e-300)
+            beta[s] += beta[s + k + 1] * rows[spans[k][:, s]] * by(s, s + k + 1)
+    scale = weight / np.maximum(alpha[n], TINY)
     out = np.zeros_like(rows)
     for s in range(n):
         for k in range(min(len(spans), n - s)):
             at = spans[k][:, s]
-            uses = alpha[s] * rows[at] * beta[s + k + 1] * scale
+            uses = alpha[s] * rows[at] * by(s, s + k + 1) * beta[s + k + 1] * scale
             for lang in range(rows.shape[1]):
                 out[:, lang] += np.bincount(at % len(rows), uses[:, lang], len(rows))
     return out
@@ -201,9 +240,8 @@ class Scorer:
             self.scores = np.vstack([self.scores[: len(self.at)], np.zeros((2 * need - len(self.at), self.p.shape[1]))])
         for group in by_length(new):
             spans, extra = self.pieces.lattice(group)
-            total = forward(spans, self.pieces.rows(self.p, extra))[-1]
             first = len(self.at)
-            self.scores[first : first + len(group)] = np.log(np.maximum(total, 1e-300))
+            self.scores[first : first + len(group)] = log_probability(spans, self.pieces.rows(self.p, extra))
             self.at.update(zip(group, range(first, first + len(group))))
 
     def texts(self, texts: list[list[str]]) -> list[np.ndarray | None]:
@@ -257,17 +295,35 @@ def _expectation(path: str, langs: list[str], p: np.ndarray):
     return run
 
 
+def last_draws(drawn: DataFrame, most: int) -> dict[str, int]:
+    """Per ``lang`` the ``most``-th smallest ``draw`` (or the largest).
+
+    Only draws under a share of the hash range in which about twice as many are
+    expected are sorted; languages with fewer there are looked at again with a
+    larger share.
+    """
+    sizes = {r["lang"]: r["n"] for r in drawn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    limits: dict[str, int] = {}
+    share = 2.0
+    while left := {x: n for x, n in sizes.items() if x not in limits}:
+        cuts = {x: int(-(1 << 63) + min(1.0, share * most / n) * ((1 << 64) - 2048)) for x, n in left.items()}
+        cut = F.create_map(*[F.lit(v) for x, c in cuts.items() for v in (x, c if share * most < left[x] else (1 << 63) - 1)])
+        near = drawn.where(F.col("draw") <= cut[F.col("lang")]).groupBy("lang", "draw").agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("lang").orderBy("draw"))
+        found = near.withColumn("upto", upto).where(F.col("upto") - F.col("n") < most).groupBy("lang").agg(F.max("draw").alias("last"), F.sum("n").alias("n"))
+        limits |= {r["lang"]: r["last"] for r in found.collect() if r["n"] >= min(most, left[r["lang"]])}
+        share *= 16
+    return limits
+
+
 def fit(labelled: DataFrame, path: str | None = None, docs_per_lang: int = DOCS_PER_LANG, rounds: int = EM_ROUNDS) -> Model:
     """Learn from ``doc_id, text, lang`` rows (a null ``lang`` teaches nothing)."""
     import public_tokenizers
 
     path = path or public_tokenizers.path(VOCABULARY)
     ws = scratch(labelled.sparkSession, "langid")
-    draw = F.xxhash64("doc_id")
-    labelled = labelled.where("lang is not null and text is not null").withColumn("draw", draw)
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
-    last = labelled.select("lang", "draw").withColumn("nth", nth).where(F.col("nth") <= docs_per_lang).groupBy("lang").agg(F.max("draw").alias("last"))
-    limits = {r["lang"]: r["last"] for r in last.collect()}
+    labelled = labelled.where("lang is not null and text is not null").withColumn("draw", F.xxhash64("doc_id"))
+    limits = last_draws(labelled.select("lang", "draw"), docs_per_lang)
     limit = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv]) if limits else None
     sample = labelled.where(F.col("draw") <= limit[F.col("lang")]) if limits else labelled.limit(0)
     counted = sample.select("lang", "text").mapInArrow(_count_words, "lang string, word string, n bigint")

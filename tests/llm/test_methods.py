@@ -61,6 +61,47 @@ def test_held_out_accuracy(spark, rows):
     assert sum(got[d]["lang_pred"] == lang[d] for d in held) >= 0.98 * len(held)
 
 
+def test_long_runs_outside_the_vocabulary_stay_in_range():
+    """Runs of 64 Lao, Khmer and Burmese letters against sums of logarithms."""
+    own = langid.pieces(public_tokenizers_path())
+    rng = np.random.default_rng(8)
+    p = np.full((own.size, 2), 1.0 / own.size)
+    p[own.byte_ids, 1] *= rng.uniform(0.1, 4.0, 256)
+    for first in (0x0E81, 0x1780, 0x1000):
+        run = "".join(chr(first + int(i)) for i in rng.integers(0, 30, 64))
+        spans, extra = own.lattice([run, "e" * 64])
+        rows = own.rows(p, extra)
+        at = np.full((66, 2), -np.inf)
+        at[0] = 0.0
+        with np.errstate(divide="ignore"):
+            for e in range(1, 66):
+                for k in range(min(len(spans), e)):
+                    at[e] = np.logaddexp(at[e], at[e - k - 1] + np.log(rows[spans[k][0, e - k - 1]]))
+        got = langid.log_probability(spans, rows)
+        assert at[65].max() < -600 and np.allclose(got[0], at[65], rtol=1e-9)
+        assert np.allclose(got[1], np.log(langid.forward(spans, rows)[-1][1]), rtol=1e-9)
+        counts = langid.expected_counts(spans, rows, np.ones((2, 2)))
+        lacking, uses = np.unique(spans[0][0][spans[0][0] >= own.size], return_counts=True)
+        assert np.isfinite(counts).all() and np.allclose(counts[lacking], uses[:, None])
+
+
+def public_tokenizers_path():
+    import public_tokenizers
+
+    return public_tokenizers.path(langid.VOCABULARY)
+
+
+@pytest.mark.parametrize("ids", [10, 700])
+def test_last_draws_equal_a_full_sort(spark, ids):
+    rng = np.random.default_rng(9)
+    rows = [("a" if i % 3 else "b", int(x)) for i, x in enumerate(rng.integers(0, ids, 3_000))] + [("c", 1), ("c", 2)]
+    drawn = spark.createDataFrame(rows, "lang string, id bigint").select("lang", F.xxhash64("id").alias("draw"))
+    by = defaultdict(list)
+    for r in drawn.collect():
+        by[r["lang"]].append(r["draw"])
+    assert langid.last_draws(drawn, 40) == {x: sorted(v)[min(40, len(v)) - 1] for x, v in by.items()}
+
+
 # ---------------------------------------------------------------- substrings
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkrec.plans.session import Workspace
@@ -35,6 +35,27 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def last_draws(drawn: DataFrame, most: int) -> dict:
+    """Per ``kind`` the ``most``-th smallest ``draw`` (or the largest).
+
+    Only draws under a share of the hash range in which about twice as many are
+    expected are sorted; kinds with fewer there are looked at again with a
+    larger share.
+    """
+    sizes = {r["kind"]: r["n"] for r in drawn.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    limits: dict = {}
+    share = 2.0
+    while left := {x: n for x, n in sizes.items() if x not in limits}:
+        cuts = {x: int(-(1 << 63) + min(1.0, share * most / n) * ((1 << 64) - 2048)) for x, n in left.items()}
+        cut = F.create_map(*[F.lit(v) for x, c in cuts.items() for v in (x, c if share * most < left[x] else (1 << 63) - 1)])
+        near = drawn.where(F.col("draw") <= cut[F.col("kind")]).groupBy("kind", "draw").agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("kind").orderBy("draw"))
+        found = near.withColumn("upto", upto).where(F.col("upto") - F.col("n") < most).groupBy("kind").agg(F.max("draw").alias("last"), F.sum("n").alias("n"))
+        limits |= {r["kind"]: r["last"] for r in found.collect() if r["n"] >= min(most, left[r["kind"]])}
+        share *= 16
+    return limits
+
+
 def hash_buckets(rows: int, per_bucket: int = 20_000) -> int:
     """How many buckets keep about ``per_bucket`` rows each; grows with the table."""
     return max(1, math.ceil(rows / per_bucket))

@@ -37,10 +37,10 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrec.llm.common import documents, pick, scratch
+from sparkrec.llm.common import documents, last_draws, pick, scratch
 
 VOCABULARY = "piece_bpe_32k.model"
 WORD_START = "▁"
@@ -295,27 +295,6 @@ def _expectation(path: str, langs: list[str], p: np.ndarray):
     return run
 
 
-def last_draws(drawn: DataFrame, most: int) -> dict[str, int]:
-    """Per ``lang`` the ``most``-th smallest ``draw`` (or the largest).
-
-    Only draws under a share of the hash range in which about twice as many are
-    expected are sorted; languages with fewer there are looked at again with a
-    larger share.
-    """
-    sizes = {r["lang"]: r["n"] for r in drawn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    limits: dict[str, int] = {}
-    share = 2.0
-    while left := {x: n for x, n in sizes.items() if x not in limits}:
-        cuts = {x: int(-(1 << 63) + min(1.0, share * most / n) * ((1 << 64) - 2048)) for x, n in left.items()}
-        cut = F.create_map(*[F.lit(v) for x, c in cuts.items() for v in (x, c if share * most < left[x] else (1 << 63) - 1)])
-        near = drawn.where(F.col("draw") <= cut[F.col("lang")]).groupBy("lang", "draw").agg(F.count(F.lit(1)).alias("n"))
-        upto = F.sum("n").over(Window.partitionBy("lang").orderBy("draw"))
-        found = near.withColumn("upto", upto).where(F.col("upto") - F.col("n") < most).groupBy("lang").agg(F.max("draw").alias("last"), F.sum("n").alias("n"))
-        limits |= {r["lang"]: r["last"] for r in found.collect() if r["n"] >= min(most, left[r["lang"]])}
-        share *= 16
-    return limits
-
-
 def fit(labelled: DataFrame, path: str | None = None, docs_per_lang: int = DOCS_PER_LANG, rounds: int = EM_ROUNDS) -> Model:
     """Learn from ``doc_id, text, lang`` rows (a null ``lang`` teaches nothing)."""
     import public_tokenizers
@@ -323,7 +302,7 @@ def fit(labelled: DataFrame, path: str | None = None, docs_per_lang: int = DOCS_
     path = path or public_tokenizers.path(VOCABULARY)
     ws = scratch(labelled.sparkSession, "langid")
     labelled = labelled.where("lang is not null and text is not null").withColumn("draw", F.xxhash64("doc_id"))
-    limits = last_draws(labelled.select("lang", "draw"), docs_per_lang)
+    limits = last_draws(labelled.select("draw", F.col("lang").alias("kind")), docs_per_lang)
     limit = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv]) if limits else None
     sample = labelled.where(F.col("draw") <= limit[F.col("lang")]) if limits else labelled.limit(0)
     counted = sample.select("lang", "text").mapInArrow(_count_words, "lang string, word string, n bigint")

@@ -2,22 +2,25 @@
 
 Three fixed patterns give the base spans. A conditional random field tags the
 tokens of a text as secret begin, inside or outside from the token's own
-shape, the three tokens before it and the one after it, and features of the
-whole text; Viterbi decodes the most likely tags, and runs of tagged tokens
+shape, the three tokens before it and the one after it (their shapes, and plain
+words by a hash into ``WORD_CELLS`` cells), and features of the whole text; Viterbi decodes the most likely tags, and runs of tagged tokens
 that touch no base span are added. Base spans always stay.
 
-The field is trained on windows of tokens around base spans and windows
-without any, from the ``sample_docs`` documents with the smallest hashes of
-their ids, at most ``windows`` of either kind (documented bounds). Scanning
+The field is trained on windows of tokens around base spans, drawn from all
+documents that hold one by the hashes of ids and texts, and on windows without
+any from all other documents: at most ``windows`` of either kind, up to
+``PER_DOC`` a document (documented bounds); a window with a long token behind a
+keyword outside a base span is not used. Fixed windows made by rule
+(``example_windows``) are always added, so that there is a field on any table,
+also one without a base span. Scanning
 reads every whole text: a token's features depend on the token alone, so each
 worker maps a distinct token to its signature once. A text in which no token
 can gain from being tagged, whatever its neighbours' tags, needs no Viterbi
 pass (its best path is all outside); every other text is decoded whole.
 
 Edge cases: a null text is empty and has no span; ties between tags go to
-outside, then begin; repeated rows are scanned alike; a sample with fewer
-than ``MIN_WINDOWS`` positive windows trains no field and only base spans are
-reported; an empty table gives an empty result.
+outside, then begin; repeated rows are scanned alike and drawn together; on an
+empty table the field knows the fixed windows only, and the result is empty.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ import hashlib
 import math
 import re
 import uuid
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -33,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrec.llm.common import documents, pick
+from sparkrec.llm.common import documents, last_draws, pick, scratch
 
 # Fixed patterns of the base kinds, with the least length of a secret.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -41,10 +45,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "crf")
 
-SAMPLE_DOCS = 20_000
-WINDOWS = 400
+WINDOWS = 800
 WINDOW_TOKENS = 24
-MIN_WINDOWS = 5
+PER_DOC = 3
+WORD_CELLS = 64
 ROUNDS = 80
 CACHE_TOKENS = 500_000
 
@@ -55,7 +59,11 @@ _TOKEN = re.compile(r"[\w+/.\-]+|[^\w\s+/.\-]")
 _WORD = re.compile(r"[^\W\d_]+[.,]?")
 _KEYWORD = re.compile(r"pass(?:word|wd)|secret|token|api_?key|private|credential|auth|bearer", re.I | re.A)
 _ASSIGN_WORD = re.compile(r"password|passwd|secret|token|api_?key", re.I | re.A)
+EDGE = "\n"  # stands before the first token of a text and after the last
 FILE_FEATURES = ("keyword", "marks", "long_token")
+# The base patterns as one for Spark's filter: which documents may hold a base span.
+MAY_HOLD = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6}"""
+            r"|AKIA[A-Z0-9]{16}|[0-9a-f]{24}")
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -65,14 +73,22 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found + [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
 
 
+def is_word(token: str) -> bool:
+    """Letters in the usual cases; four changes from lower to upper case or more are no word's."""
+    return bool(_WORD.fullmatch(token)) and sum(a.islower() and b.isupper() for a, b in zip(token, token[1:])) < 4
+
+
 def token_features(token: str) -> tuple[str, ...]:
     """Features of a token by itself."""
+    if token == EDGE:
+        return ("edge",)
     if len(token) == 1 and not token.isalnum():
         return ("mark=" + token if token in "=:\"'|,;()[]{}<>@#$%&*!?" else "mark",)
     n = "len=" + str(min(6, int(math.log2(len(token)))))
     key = ("keyword",) if _KEYWORD.search(token) else ()
-    if _WORD.fullmatch(token):
-        return ("word", n, *key, *(("upper",) if token.isupper() and len(token) > 1 else ()))
+    if is_word(token):
+        cell = "cell=" + str(zlib.crc32(token.lower().rstrip(".,").encode("utf-8", "surrogatepass")) % WORD_CELLS)
+        return ("word", n, cell, *key, *(("upper",) if token.isupper() and len(token) > 1 else ()))
     digits = sum(c.isdigit() for c in token)
     letters = sum(c.isalpha() for c in token)
     counts = Counter(token)
@@ -150,7 +166,8 @@ def scores(table: np.ndarray, ids: np.ndarray, own: np.ndarray) -> np.ndarray:
 def gain_bound(move: np.ndarray) -> float:
     """The most that tags' transitions can add to a tagged token against all outside."""
     stay = move[OUTSIDE, OUTSIDE]
-    return max(move[a, b] - stay for a in range(3) for b in (BEGIN, INSIDE)) + max(0.0, max(move[a, OUTSIDE] - stay for a in (BEGIN, INSIDE)))
+    # the first token has no transition into it
+    return max(0.0, *(move[a, b] - stay for a in range(3) for b in (BEGIN, INSIDE))) + max(0.0, max(move[a, OUTSIDE] - stay for a in (BEGIN, INSIDE)))
 
 
 def viterbi(emission: np.ndarray, move: np.ndarray) -> list[int]:
@@ -174,9 +191,15 @@ def viterbi(emission: np.ndarray, move: np.ndarray) -> list[int]:
     return tags[::-1]
 
 
+def tokens_of(text: str) -> list[str]:
+    """The text's tokens between two edges; none of a text without a token."""
+    tokens = _TOKEN.findall(text)
+    return [EDGE, *tokens, EDGE] if tokens else []
+
+
 def tag_tokens(text: str, spans: list[tuple[int, int]]) -> list[int]:
-    """The tokens' tags: a token that overlaps a span is part of the secret."""
-    tags, k, last = [], 0, -1
+    """The tags of ``tokens_of`` the text: a token that overlaps a span is part of the secret."""
+    tags, k, last = [OUTSIDE], 0, -1
     spans = sorted(spans)
     for m in _TOKEN.finditer(text):
         while k < len(spans) and spans[k][1] <= m.start():
@@ -184,7 +207,7 @@ def tag_tokens(text: str, spans: list[tuple[int, int]]) -> list[int]:
         inside = k < len(spans) and m.end() > spans[k][0]
         tags.append(OUTSIDE if not inside else INSIDE if last == k else BEGIN)
         last = k if inside else -1
-    return tags
+    return [*tags, OUTSIDE]
 
 
 def _training_windows(batches):
@@ -193,7 +216,7 @@ def _training_windows(batches):
         rows = []
         for draw, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py() or ""
-            tokens = _TOKEN.findall(text)
+            tokens = tokens_of(text)
             if not tokens:
                 continue
             ids = known.ids(tokens)
@@ -205,11 +228,17 @@ def _training_windows(batches):
                 spans += [(s, e) for kind, s, e in base_spans(text) if kind != "assign" and not any(s < y and x < e for x, y in spans)]
                 tags = tag_tokens(text, spans)
             marked = [i for i, t in enumerate(tags) if t == BEGIN]
-            odd = [i for i, t in enumerate(tokens) if len(t) > 7 and not _WORD.fullmatch(t) and tags[i] == OUTSIDE]
-            spots = [(i, True) for i in marked[:3]] or [(i, False) for i in (*odd[:2], len(tokens) // 2)]
+            odd = [i for i, t in enumerate(tokens) if len(t) > 7 and not is_word(t) and tags[i] == OUTSIDE]
+            spots = [(i, True) for i in marked[:PER_DOC]] or [(i, False) for i in (*odd[: PER_DOC - 2], 0, len(tokens) // 2)]
+            # a long token after a keyword may be a secret of another form: it teaches neither
+            unclear = [i for i in odd if len(tokens[i]) >= 12 and any(_KEYWORD.search(t) for t in tokens[max(0, i - 3) : i])]
             for i, positive in spots:
                 a = max(0, i - WINDOW_TOKENS)
+                while a and tags[a] != OUTSIDE:  # no window begins within a secret, without what is before it
+                    a -= 1
                 b = i + WINDOW_TOKENS
+                if not positive and any(a <= j < b for j in unclear):
+                    continue
                 rows.append((draw, positive, tokens[a:b], tags[a:b], own.tolist()))
         if rows:
             columns = list(zip(*rows))
@@ -273,44 +302,69 @@ def train_field(windows: list[tuple[list[str], list[int], list[float]]], rounds:
     return field
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs: int = SAMPLE_DOCS, windows: int = WINDOWS) -> Field | None:
-    """Train on at most ``windows`` positive and as many negative windows of at most ``sample_docs`` documents."""
-    own = pick(docs, doc_id=doc_id, text=text).withColumn("draw", F.xxhash64("doc_id"))
-    last = own.select("draw").orderBy("draw").limit(sample_docs).agg(F.max("draw").alias("last")).first()["last"]
-    if last is None:
-        return None
+def example_windows() -> list[tuple[list[str], list[int], list[float]]]:
+    """Fixed windows by rule: keyed values of several alphabets in settings and prose, and look-alikes without a secret."""
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alphabets = (lower + digits, lower + upper + digits, upper + digits, digits + "abcdef")
+    keys = ("password", "secret", "token", "api_key", "private_key", "credential", "auth", "bearer")
+    forms = ("set {k} = {v} before the start", "{k}: {v}", 'the {k} is "{v}" and must not be shared', "use {k} {v} to log in")
+    plain = ("the {k} was changed on {d} by the owner", "release {d} of the page {w}", "see section {d} about the {k} of a user",
+             "{w} and {w} were there in {d}", "the meaning of a {k} is {w}", "call {d} or write to {w}", "{w}.{d}@mail.{w}.com", "{w}.{d}@{w}.org wrote about it", "{w} - {w}.{w} | {d} | {w}")
+    out = []
+    for n, (key, form) in enumerate((k, f) for k in keys for f in forms):
+        draw = hashlib.sha512(f"{n}".encode()).digest()
+        letters = alphabets[n % len(alphabets)]
+        value = "".join(letters[x % len(letters)] for x in draw[: 16 + 8 * (n % 4)])
+        numbers = (f"{draw[0]}.{draw[1] % 20}.{draw[2] % 9}", f"{1900 + draw[0] % 150}-{1 + draw[1] % 12:02d}-{1 + draw[2] % 28:02d}", str(draw[0] * draw[1]))
+        word = "".join(lower[x % 26] for x in draw[: 4 + draw[3] % 12])
+        secret = form.format(k=key, v=value)
+        at = secret.index(value)
+        for text, spans in ((secret, [(at, at + len(value))]), (plain[n % len(plain)].format(k=key, d=numbers[n % 3], w=word), [])):
+            tokens, known = tokens_of(text), Tokens()
+            out.append((tokens, tag_tokens(text, spans), seen_flags(known, known.ids(tokens))[1].tolist()))
+    return out
+
+
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", windows: int = WINDOWS) -> Field:
+    """Train on at most ``windows`` positive and as many negative windows, drawn from all documents, and the fixed ones."""
+    ws = scratch(docs.sparkSession, "secrets")
+    own = pick(docs, doc_id=doc_id, text=text).where("text is not null")
+    own = own.withColumn("draw", F.xxhash64("doc_id", "text")).withColumn("holds", F.col("text").rlike(MAY_HOLD))
+    draws = ws.materialize(own.select("draw", "holds"), "draws")
+    limits = last_draws(draws.select("draw", F.col("holds").alias("kind")), windows)
+    if not limits:
+        return train_field(example_windows())
+    drawn = F.lit(False)
+    for holds, last in limits.items():
+        drawn = drawn | ((F.col("holds") == holds) & (F.col("draw") <= last))
     schema = "draw bigint, positive boolean, tokens array<string>, tags array<int>, own array<double>"
-    found = own.where(F.col("draw") <= last).select("draw", "text").mapInArrow(_training_windows, schema)
-    found = found.select("positive", "draw", "tokens", "tags", "own").persist()
+    # repeated rows teach once
+    found = own.select("draw", "text", "holds").where(drawn).dropDuplicates(["draw"]).select("draw", "text").mapInArrow(_training_windows, schema)
+    found = ws.materialize(found, "windows")
     kept = [found.where(F.col("positive") == p).orderBy("draw", "tokens").limit(windows).collect() for p in (True, False)]
-    found.unpersist()
-    if len(kept[0]) < MIN_WINDOWS or not kept[1]:
-        return None
-    return train_field([(r["tokens"], r["tags"], r["own"]) for part in kept for r in part])
+    return train_field([(r["tokens"], r["tags"], r["own"]) for part in kept for r in part] + example_windows())
 
 
 class Scanner:
-    def __init__(self, field: Field | None):
+    def __init__(self, field: Field):
         self.field, self.known = field, Tokens()
         self.table = np.zeros((len(OFFSETS), 0, 3))
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         """All spans of a text: the base ones and those the field adds."""
-        tokens = _TOKEN.findall(text)
+        tokens = tokens_of(text)
         if not tokens:
             return []
         ids = self.known.ids(tokens)
         suspect, own = seen_flags(self.known, ids)
         found = base_spans(text) if suspect else []
-        if self.field is None:
-            return found
         if self.table.shape[1] < len(self.known.features):
             self.table = np.concatenate([self.table, self.field.table(self.known.features[self.table.shape[1] :])], axis=1)
         emission = scores(self.table, ids, own @ self.field.file)
         gain = emission[:, 1:].max(axis=1) - emission[:, OUTSIDE]
         if gain.max() + gain_bound(self.field.move) < 0:
             return found
-        tags = viterbi(emission, self.field.move)
+        tags = viterbi(emission, self.field.move)[1:-1]
         if any(tags):
             found = found + self._tagged(text, tags, found)
         return found
@@ -351,7 +405,7 @@ def redacted(text: str, spans: list[tuple[str, int, int]], mark: str = "[SECRET]
     return "".join([*out, text[at:]])
 
 
-def scan(docs: DataFrame, field: Field | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: ``doc_id``, base counts, ``base_sha256``, ``spans`` and the ``redacted`` text."""
     key = uuid.uuid4().hex
     schema = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, redacted string"
@@ -377,7 +431,7 @@ def scan(docs: DataFrame, field: Field | None, doc_id: str = "doc_id", text: str
     return pick(docs, doc_id=doc_id, text=text).mapInArrow(run, schema)
 
 
-def without_secrets(docs: DataFrame, field: Field | None, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+def without_secrets(docs: DataFrame, field: Field, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """All rows and columns, with every span of ``text`` replaced by a mark (and ``n_chars``, if there, counted anew)."""
     key, names = uuid.uuid4().hex, docs.columns
     at = names.index(text)

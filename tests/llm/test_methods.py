@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_TINY
-from sparkrec.llm import fingerprints, jaccard, langid, mixing, packing, pii, secrets, substrings, token_ids
+from sparkrec.llm import common, fingerprints, jaccard, langid, mixing, packing, pii, secrets, substrings, token_ids
 from sparkrec.llm.queries import QUERIES
 
 
@@ -95,11 +95,11 @@ def public_tokenizers_path():
 def test_last_draws_equal_a_full_sort(spark, ids):
     rng = np.random.default_rng(9)
     rows = [("a" if i % 3 else "b", int(x)) for i, x in enumerate(rng.integers(0, ids, 3_000))] + [("c", 1), ("c", 2)]
-    drawn = spark.createDataFrame(rows, "lang string, id bigint").select("lang", F.xxhash64("id").alias("draw"))
+    drawn = spark.createDataFrame(rows, "kind string, id bigint").select("kind", F.xxhash64("id").alias("draw"))
     by = defaultdict(list)
     for r in drawn.collect():
-        by[r["lang"]].append(r["draw"])
-    assert langid.last_draws(drawn, 40) == {x: sorted(v)[min(40, len(v)) - 1] for x, v in by.items()}
+        by[r["kind"]].append(r["draw"])
+    assert common.last_draws(drawn, 40) == {x: sorted(v)[min(40, len(v)) - 1] for x, v in by.items()}
 
 
 # ---------------------------------------------------------------- substrings
@@ -458,6 +458,38 @@ def test_field_finds_what_patterns_miss():
     assert scanner.spans("some number 4929348385146306 and 129.38.82.176 end") == []
 
 
+def _scanned(spark, rows, field=None):
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = secrets.scan(docs, field or secrets.fit(docs)).collect()
+    return {r["doc_id"]: r["spans"] for r in found}
+
+
+def test_a_fitted_field_finds_secrets_of_another_form(spark):
+    """The corpus teaches assignments; the planted credentials match no fixed pattern."""
+    rng = np.random.default_rng(10)
+    value = lambda n: "".join(rng.choice(list("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"), n))
+    prose = lambda n: " ".join(rng.choice("the house of a river and small trees were seen by many people".split(), n))
+    rows = [(i, f"{prose(20)} password = {value(24)} {prose(12)}") for i in range(60)]
+    rows += [(100 + i, f"{prose(20)} on 2021-03-{10 + i % 18} with {i}.{i + 1} {prose(12)}") for i in range(80)]
+    planted = {300 + i: value(28) for i in range(10)}
+    rows += [(d, f"{prose(15)} the credential : {v} {prose(10)}") for d, v in planted.items()]
+    got, text = _scanned(spark, rows), dict(rows)
+    for d, v in planted.items():
+        a = text[d].index(v)
+        assert f"crf:{a}:{a + len(v)}" in got[d].split(",")
+    assert not any(got[i] for i in range(100, 180)) and all(got[i] for i in range(60))
+
+
+def test_there_is_a_field_without_any_base_span(spark):
+    """Nothing to learn from but the fixed windows."""
+    rows = [(i, f"plain words number {i} of the page and its end") for i in range(30)]
+    rows.append((50, 'then the credential: "k7Xw2pQv9LmZ4tRb8NcY6sDf" was sent'))
+    got = _scanned(spark, rows)
+    at = rows[-1][1].index("k7Xw")
+    assert got[50] == f"crf:{at}:{at + 24}" and not any(got[i] for i in range(30))
+    assert _scanned(spark, rows[:0]) == {}
+
+
 def test_viterbi_is_the_best_path():
     from itertools import product
 

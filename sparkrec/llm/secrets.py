@@ -339,7 +339,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", windows: in
         drawn = drawn | ((F.col("holds") == holds) & (F.col("draw") <= last))
     schema = "draw bigint, positive boolean, tokens array<string>, tags array<int>, own array<double>"
     # repeated rows teach once
-    found = own.select("draw", "text", "holds").where(drawn).dropDuplicates(["draw"]).select("draw", "text").mapInArrow(_training_windows, schema)
+    found = own.where(F.col("draw") <= max(limits.values())).select("draw", "text", "holds").where(drawn).dropDuplicates(["draw"]).select("draw", "text").mapInArrow(_training_windows, schema)
     found = ws.materialize(found, "windows")
     kept = [found.where(F.col("positive") == p).orderBy("draw", "tokens").limit(windows).collect() for p in (True, False)]
     return train_field([(r["tokens"], r["tags"], r["own"]) for part in kept for r in part] + example_windows())

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -193,6 +194,42 @@ def test_plan_places_every_piece():
     assert fill > 0.98
 
 
+@pytest.fixture(scope="module")
+def ids_of(rows):
+    """Every document's ids by the tokenizer itself, with the end id, as little-endian bytes."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(token_ids.vocabulary_path())
+    encoded = tokenizer.encode_batch([r["text"] or "" for r in rows], add_special_tokens=False)
+    return {r["doc_id"]: np.array([*e.ids, token_ids.END_ID], "<u4") for r, e in zip(rows, encoded)}
+
+
+def test_pieces_hold_the_tokenizers_ids(spark, ids_of):
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in QUERIES["op3_packing"](spark, SF_TINY).collect():
+        pieces[r["doc_id"]].append(r)
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert set(pieces) == set(ids_of)
+    for doc, found in pieces.items():
+        at = 0
+        for r in sorted(found, key=lambda r: r["start"]):
+            ids = ids_of[doc][at : at + r["length"]]
+            assert (r["start"], r["doc_tokens"], r["ids_crc32"]) == (at, len(ids_of[doc]), zlib.crc32(ids.tobytes()))
+            at += r["length"]
+        assert at == len(ids_of[doc])
+    for placed in sequences.values():
+        ends = np.cumsum([n for _, n in sorted(placed)])
+        assert [o for o, _ in sorted(placed)] == [0, *ends[:-1]] and ends[-1] <= 4096
+
+
+def test_files_hold_the_tokenizers_ids(spark, ids_of):
+    got, start = _result(spark, "op6_token_files"), 0
+    assert set(got) == set(ids_of)
+    for doc, ids in sorted(ids_of.items()):
+        assert (got[doc]["start"], got[doc]["n_tokens"], got[doc]["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
 def test_units_give_the_tokenizers_ids():
     e = token_ids.encoder(token_ids.vocabulary_path())
     texts = ["A b's, don't!'s  x", "É ÀÉ, naïve—café", "<|endoftext|>x <|startoftext|>", "日本 語,x 12,3", "a\x85b\x1cc", "é İx ΑΣ.", ""]

@@ -51,3 +51,25 @@ def test_pipeline_stages(spark):
         docs = out
     assert sizes[0] == sizes[1] + (sizes[0] - sizes[1]) and sizes[2] == sizes[1] and min(sizes) > 0
     assert docs.groupBy("sequence_id").sum("length").where("`sum(length)` > 4096").count() == 0
+
+
+@pytest.mark.parametrize("rows", ["none", "nulls"])
+def test_pipeline_edges(spark, rows):
+    """An empty table, and null texts, ids and sources beside extra columns with names used inside."""
+    docs = spark.read.parquet(f"{SF_TINY}/documents.parquet")
+    docs = docs.limit(0) if rows == "none" else docs.where("doc_id < 40")
+    extra = {"kept_id": F.lit(1), "draw": F.lit("x"), "holds": F.lit(None).cast("string"), "key": F.lit(2.0)}
+    docs = docs.withColumns(extra)
+    if rows == "nulls":
+        blank = {c: F.when(F.col("doc_id") % 4 != k, F.col(c)) for k, c in ((1, "text"), (2, "source"))}
+        docs = docs.withColumns(blank).unionByName(docs.where("doc_id < 3").withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType)))
+    ws = scratch(spark, "t-edges")
+    for name, stage in corpus_pipeline.STAGES:
+        out = ws.materialize(stage(spark, docs, SF_TINY), name)
+        if name != "packing":
+            assert out.columns == docs.columns
+        if name == "language_id":
+            assert out.where("text is null").count() == 0 and out.where("text is not null").count() == docs.where("text is not null").count()
+        if rows == "none":
+            assert out.count() == 0
+        docs = out

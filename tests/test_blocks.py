@@ -68,3 +68,21 @@ def test_fit_in_blocks_equals_broadcast_and_leaves_the_last_sweep(spark, ws, rat
         a, b = ({r["id"]: r["features"] for r in t.collect()} for t in (a, b))
         assert a.keys() == b.keys()
         assert max(abs(x - y) for k in a for x, y in zip(a[k], b[k])) < 1e-9
+
+
+def test_shuffled_interactions_are_not_dealt_again(spark, ws):
+    """Orders beyond the broadcast budget: the join's own shuffle has dealt the rows; the ratings are the same."""
+    from sparkrec.plans import queries
+
+    from conftest import SF_TINY
+
+    found = {}
+    for budget in ("10m", "1k"):
+        with held(spark, BUDGET, budget):
+            dealt, materialize = [], ws.materialize
+            ws.materialize = lambda df, name, *a, **k: (dealt.append((name, k.get("partitions"))), materialize(df, name, *a, **k))[1]
+            rows = queries._ratings(spark, SF_TINY, ws).collect()
+            ws.materialize = materialize
+            found[budget] = sorted(map(tuple, rows)), dict(dealt)["interactions"]
+    assert found["10m"][0] == found["1k"][0]
+    assert found["10m"][1] and found["1k"][1] is None

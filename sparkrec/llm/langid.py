@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrec.llm.common import documents, last_draws, pick, scratch
+from sparkrec.llm.common import documents, kept, last_draws, pick, scratch
 
 VOCABULARY = "piece_bpe_32k.model"
 WORD_START = "▁"
@@ -320,9 +320,6 @@ def fit(labelled: DataFrame, path: str | None = None, docs_per_lang: int = DOCS_
     return Model(path, langs, p, np.full(len(langs), 1.0 / max(1, len(langs))))
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 class Predictor:
     """Predictions of a batch of texts, with this worker's scorer of the model."""
 
@@ -331,12 +328,10 @@ class Predictor:
 
     def __call__(self, texts) -> tuple[list[str], list[float]]:
         model = self.model
-        if model.langs and self.key not in _SCORERS:
-            _SCORERS.clear()  # one model a worker
-            _SCORERS[self.key] = Scorer(model.path, model.p)
+        scorer = kept(("scorer", self.key), lambda: Scorer(model.path, model.p)) if model.langs else None
         preds, scores = [], []
         for part in _chunks(texts):
-            for total in _SCORERS[self.key].texts(part) if model.langs else [None] * len(part):
+            for total in scorer.texts(part) if scorer else [None] * len(part):
                 if total is None:
                     preds.append(UNDETERMINED)
                     scores.append(0.0)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrec.llm.common import documents, last_draws, pick, scratch
+from sparkrec.llm.common import documents, kept, last_draws, pick, scratch
 
 # Fixed patterns of the base kinds, with the least length of a secret.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -387,9 +387,6 @@ class Scanner:
         return out
 
 
-_SCANNERS: dict[str, Scanner] = {}
-
-
 def listed(spans: list[tuple[str, int, int]]) -> str:
     """``kind:start:end`` by start, then kind as listed, comma-joined."""
     return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]), x[2])))
@@ -411,10 +408,7 @@ def scan(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: str = "tex
     schema = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, redacted string"
 
     def run(batches):
-        if key not in _SCANNERS:
-            _SCANNERS.clear()  # one field a worker
-            _SCANNERS[key] = Scanner(field)
-        find = _SCANNERS[key].spans
+        find = kept(("scanner", key), lambda: Scanner(field)).spans
         for batch in batches:
             rows = []
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -437,10 +431,7 @@ def without_secrets(docs: DataFrame, field: Field, text: str = "text", n_chars:
     at = names.index(text)
 
     def run(batches):
-        if key not in _SCANNERS:
-            _SCANNERS.clear()
-            _SCANNERS[key] = Scanner(field)
-        find = _SCANNERS[key].spans
+        find = kept(("scanner", key), lambda: Scanner(field)).spans
         for batch in batches:
             texts = [t.as_py() for t in batch.column(at)]
             clean = [redacted(t, spans) if t and (spans := find(t)) else t for t in texts]

@@ -14,6 +14,8 @@ import re
 
 import numpy as np
 
+from sparkrec.llm.common import kept
+
 WORD_BPE = "word_bpe_49k.json"
 END_ID = 2
 CACHE_UNITS = 400_000
@@ -80,11 +82,6 @@ class Encoder:
         return b"".join(map(self.new.__getitem__, parts))
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """This worker process's encoder for a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return kept(("encoder", path), lambda: Encoder(path))

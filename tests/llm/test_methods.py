@@ -245,6 +245,22 @@ def test_cache_forgets_and_stays_right(monkeypatch):
         assert e.encode(t) == np.array(e.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_a_worker_keeps_the_cache_of_its_last_operator_only():
+    from sparkrec.llm import langid as lid
+
+    model = lid.Model("none", ["en"], np.zeros((1, 1)), np.ones(1))
+    made = []
+    common.kept(("scanner", "a"), lambda: made.append("a") or "first")
+    assert common.kept(("scanner", "a"), lambda: made.append("again")) == "first" and made == ["a"]
+    e = token_ids.encoder(token_ids.vocabulary_path())
+    assert token_ids.encoder(token_ids.vocabulary_path()) is e
+    assert list(common._KEPT.values()) == [e]
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(lid, "Scorer", lambda path, p: "scorer")
+        lid.Predictor(model)([])
+    assert list(common._KEPT.values()) == ["scorer"]
+
+
 # -------------------------------------------------------------- fingerprints
 
 

@@ -435,6 +435,46 @@ def test_blocks_of_many_trees_drop_no_pair():
             at_x, at_y = at_x + len(bx), at_y + len(by)
 
 
+def test_open_pairs_are_handed_out_once(spark):
+    """Near copies that meet in many groups: no pair comes twice, and a forest of them is linear in the copies."""
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for _ in range(40):  # each differs from the base in one to three words: some pairs are linked, others are not
+        words = list(base)
+        for at in rng.choice(200, rng.integers(1, 4), replace=False):
+            words[at] = f"x{rng.integers(1 << 40)}"
+        texts.append(" ".join(words))
+    sets = [jaccard.shingles(t) for t in texts]
+    names = [jaccard.set_key(s) for s in sets]
+    linked = set()
+    for i in range(40):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                linked.add((min(names[i], names[j]), max(names[i], names[j])))
+    groups = [(g, names[i]) for g, k in enumerate(range(2, 40)) for i in rng.permutation(40)[:k]] + [(-1, n) for n in names]
+    ws = common.scratch(spark, "test-open-pairs")
+    members = spark.createDataFrame(groups, "gid bigint, node bigint")
+    rows = spark.createDataFrame([(n, len(s), jaccard.bitmap(s)) for n, s in zip(names, sets)], "node bigint, n bigint, bitmap binary")
+    alone = spark.createDataFrame([], "node bigint, component bigint")
+    clusters = jaccard.clusters_of(members)
+    found = [(r["a"], r["b"]) for r in jaccard.open_pairs(clusters, alone, rows, ws).collect()]
+    assert len(found) == len(set(found)) and linked and linked <= set(found)
+    forest = [(r["a"], r["b"]) for r in jaccard.open_pairs(clusters, alone, rows, ws, forest=True).collect()]
+    assert set(forest) <= set(found) and len(forest) <= 39 * clusters.select("centre").distinct().count() < len(found)
+    pairs = spark.createDataFrame([(a, b) for i, a in enumerate(names) for b in names[:i]], "a bigint, b bigint")
+    ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    assert linked <= {(r["a"], r["b"]) for r in jaccard.bounded(ordered, rows).collect()}
+    ws.drop()
+
+
+def test_forest_connects_what_its_pairs_connect():
+    row = np.array([0, 0, 0, 1, 1])
+    kept = jaccard.spanning(row, np.array([1, 2, 1, 1, 3]), np.array([2, 3, 3, 3, 1]))
+    assert kept.tolist() == [0, 1, 3]
+
+
 def test_word_hashes_follow_the_words():
     text = " The tHe\tÉcole école\x0b\nx\x85y  the\r"
     words = text.encode().lower().split()

@@ -69,6 +69,12 @@ def _plus(cell: Column, p: Column, times: int) -> Column:
     return _cell(cell["c"] + p["s"] * times, cell["k"].bitwiseXOR(p["k"]), cell["h"].bitwiseXOR(p["h"]))
 
 
+def _changed(placed: Column, t: int, at: Column, cell: Column, times: int) -> Column:
+    """The cell at ``at`` of table ``t`` with the digests placed there; most cells get none."""
+    there = F.filter(placed, lambda p: p[f"p{t}"] == at)
+    return F.when(F.array_contains(placed[f"p{t}"], at), F.aggregate(there, cell, lambda acc, p: _plus(acc, p, times))).otherwise(cell)
+
+
 def sketch(keys: Column, seed: Column, cells: int) -> Column:
     """The cells of a set of digests, table after table."""
     empty = _cell(F.lit(0), F.lit(0).cast("bigint"), F.lit(0).cast("bigint"))
@@ -76,7 +82,7 @@ def sketch(keys: Column, seed: Column, cells: int) -> Column:
     def table(placed, t):
         return F.transform(
             F.sequence(F.lit(t * cells), F.lit((t + 1) * cells - 1)),
-            lambda i: F.aggregate(F.filter(placed, lambda p: p[f"p{t}"] == i), empty, lambda acc, p: _plus(acc, p, 1)),
+            lambda i: _changed(placed, t, i, empty, 1),
         )
 
     def filled(placed):
@@ -96,7 +102,7 @@ def peel(a: Column, b: Column, seed: Column, cells: int) -> Column:
         def table(found, t):
             return F.transform(
                 F.slice(state["cells"], t * cells + 1, cells),
-                lambda x, i: let(i + t * cells, lambda at: F.aggregate(F.filter(found, lambda p: p[f"p{t}"] == at), x, lambda acc, p: _plus(acc, p, -1))),
+                lambda x, i: _changed(found, t, i + t * cells, x, -1),
             )
 
         def without(found):
@@ -119,37 +125,51 @@ def peel(a: Column, b: Column, seed: Column, cells: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, counts)
 
 
-def shard(keys: Column, g: Column, level: Column) -> Column:
-    """The digests in the ``g``-th of ``2 ** level`` equal ranges."""
+def cuts(keys: Column, level: Column, first: Column, last: Column) -> Column:
+    """Index of the first digest of each of the ``first``-th to ``last``-th of ``2 ** level`` equal ranges (past the last range: their number)."""
     edge = lambda i: F.call_function("shiftleft", i.cast("bigint"), F.lit(64) - level).bitwiseXOR(F.lit(FIRST_ID))
-    last = F.call_function("shiftleft", F.lit(1), level) - 1
-    low = F.when(g == 0, F.lit(0)).otherwise(first_not_below(keys, edge(g)))
-    high = F.when(g == last, F.size(keys)).otherwise(first_not_below(keys, edge(g + 1)))
-    return let(F.struct(low.alias("lo"), high.alias("hi")), lambda r: F.slice(keys, r["lo"] + 1, r["hi"] - r["lo"]))
+    ranges = F.call_function("shiftleft", F.lit(1), level)
+    return F.transform(
+        F.sequence(first, last),
+        lambda i: F.when(i == 0, F.lit(0)).when(i == ranges, F.size(keys)).otherwise(first_not_below(keys, edge(i))),
+    )
+
+
+def shard(keys: Column, at: Column, i: Column) -> Column:
+    """The digests between the ``i``-th and the next of the cuts."""
+    return F.slice(keys, F.get(at, i) + 1, F.get(at, i + 1) - F.get(at, i))
 
 
 def _sharded(a: Column, b: Column, level: Column) -> Column:
     """The difference by ``2 ** level`` shards, those that fail cut smaller; null if one never peels."""
 
-    def one(g, depth):
-        seed = depth + 1
-        pair = F.struct(shard(a, g, depth).alias("a"), shard(b, g, depth).alias("b"))
-        return let(pair, lambda s: peel(sketch(s["a"], seed, SHARD_CELLS), sketch(s["b"], seed, SHARD_CELLS), seed, SHARD_CELLS))
+    def one(left, right, seed):
+        pair = F.struct(left.alias("a"), right.alias("b"))
+        difference = lambda s: peel(sketch(s["a"], seed, SHARD_CELLS), sketch(s["b"], seed, SHARD_CELLS), seed, SHARD_CELLS)
+        # nothing to subtract: the whole other side is the difference
+        alone = lambda s: F.struct(F.size(s["a"]).alias("left"), F.size(s["b"]).alias("right"))
+        return let(pair, lambda s: F.when((F.size(s["a"]) == 0) | (F.size(s["b"]) == 0), alone(s)).otherwise(difference(s)))
 
     def total(found):
         add = lambda acc, x: F.struct((acc["left"] + x["left"]).alias("left"), (acc["right"] + x["right"]).alias("right"))
         zero = F.struct(F.lit(0).alias("left"), F.lit(0).alias("right"))
         return F.when(F.forall(found, lambda x: x.isNotNull()), F.aggregate(found, zero, add))
 
+    def by_shard(depth, first, count):
+        """The differences of ``count`` shards of ``2 ** depth``, the ``first``-th and following."""
+        at = F.struct(cuts(a, depth, first, first + count).alias("a"), cuts(b, depth, first, first + count).alias("b"))
+        each = lambda c: F.transform(F.sequence(F.lit(0), count - 1), lambda i: one(shard(a, c["a"], i), shard(b, c["b"], i), depth + 1))
+        return let(at, each)
+
     def parts(g, r):
         shift = lambda x: F.call_function("shiftleft", x, r)
-        return let(F.transform(F.sequence(shift(g), shift(g + 1) - 1), lambda i: one(i, level + r)), total)
+        return let(by_shard(level + r, shift(g), shift(F.lit(1))), total)
 
-    def tried(g):
+    def tried(found, g):
         step = lambda acc, r: F.when(acc.isNotNull(), acc).otherwise(parts(g, r))
-        return F.aggregate(F.sequence(F.lit(0), F.lit(RETRIES - 1)), F.lit(None).cast("struct<left:int,right:int>"), step)
+        return F.when(found.isNotNull(), found).otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(RETRIES - 1)), F.lit(None).cast("struct<left:int,right:int>"), step))
 
-    return let(F.transform(F.sequence(F.lit(0), F.call_function("shiftleft", F.lit(1), level) - 1), tried), total)
+    return let(F.transform(by_shard(level, F.lit(0), F.call_function("shiftleft", F.lit(1), level)), tried), total)
 
 
 def likeness(a: Column, b: Column, base_a: Column, base_b: Column) -> Column:

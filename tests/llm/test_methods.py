@@ -264,6 +264,30 @@ def test_a_worker_keeps_the_cache_of_its_last_operator_only():
 # -------------------------------------------------------------- fingerprints
 
 
+def test_cuts_deal_every_digest_to_its_range(spark):
+    rng = np.random.default_rng(3)
+    sets = [sorted(rng.integers(-(1 << 63), (1 << 63) - 1, n).tolist()) for n in (0, 1, 5, 60)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(sets)], "i int, keys array<bigint>")
+    for level in (0, 1, 4):
+        at = fingerprints.cuts(F.col("keys"), F.lit(level), F.lit(0), F.lit(1 << level))
+        found = {r["i"]: r["at"] for r in df.select("i", at.alias("at")).collect()}
+        for i, s in enumerate(sets):
+            shard_of = [(k + (1 << 63)) >> (64 - level) for k in s]
+            assert found[i] == [sum(x < g for x in shard_of) for g in range((1 << level) + 1)]
+
+
+def test_unlike_texts_are_compared_exactly_by_shards(spark):
+    rng = np.random.default_rng(4)
+    line = lambda n: [f"line {x}" for x in rng.integers(0, 300, n)]
+    texts = ["\n".join(line(n)) for n in (0, 1, 40, 90, 200, 7)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    sets = [set(t.split("\n")) - {""} for t in texts]
+    for r in fingerprints.fingerprints(docs).collect():
+        a, b = sets[r["doc_id"]], sets[(r["doc_id"] + 1) % len(sets)]
+        assert r["near_next"] == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
+
+
+
 def test_likeness_equals_the_sets(spark, rows):
     got = _result(spark, "op4_fingerprints")
     keys = lambda t: {x for p in re.split(r"[\n.!?]+", t) if (x := p.strip(" "))}

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkrec.llm import token_ids
-from sparkrec.llm.common import FIRST_ID, documents, hash_buckets, pick, range_bucket, scratch
+from sparkrec.llm.common import FIRST_ID, documents, hash_buckets, kept, pick, range_bucket, scratch
 
 # Fixed values of the zstandard frame and seekable formats.
 SKIPPABLE_INDEX = 0x184D2A50
@@ -91,7 +91,8 @@ def read_frames(filesystem, path: str, wanted: set[int] | None = None):
         table = np.frombuffer(f.read(12 * n), "<u4").reshape(n, 3)
         at = np.concatenate([[0], np.cumsum(table[:, 0], dtype=np.int64)])
         before = np.concatenate([[0], np.cumsum(table[:, 1] // 4, dtype=np.int64)])
-        decompress = zstandard.ZstdDecompressor().decompress
+        # in place of the encoder's cache, should this worker hold one
+        decompress = kept(("frames",), zstandard.ZstdDecompressor).decompress
         for i in range(n):
             data = None
             if wanted is None or int(ids[i]) in wanted:

@@ -4,11 +4,13 @@ The tokenizer drops white space and never merges across it, nor across the
 end of a run of letters, so a text's ids are the concatenated ids of its
 units. Each worker process keeps the ids of units it has met (two generations
 of at most ``CACHE_UNITS`` entries each; the older one is dropped when the
-newer is full) and sends only new units to the ``tokenizers`` library.
+newer is full) and sends only new units to the ``tokenizers`` library: those of
+letters only as one text, if the vocabulary marks the last id of a word.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -45,6 +47,17 @@ def units(text: str) -> list[str]:
     return _LATIN_UNITS.findall(text)
 
 
+def word_ends(tokenizer) -> np.ndarray | None:
+    """Which ids end a word; None if the vocabulary does not mark them."""
+    suffix = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix")
+    if not suffix:
+        return None
+    known = tokenizer.get_vocab()
+    out = np.zeros(max(known.values()) + 1, bool)
+    out[[i for token, i in known.items() if token.endswith(suffix)]] = True
+    return out
+
+
 class Encoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes."""
 
@@ -53,6 +66,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.word_end = word_ends(self.tokenizer)
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -67,9 +81,28 @@ class Encoder:
             else:
                 self.new[u] = ids
         for i in range(0, len(missing), 10_000):
-            part = missing[i : i + 10_000]
-            for u, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.new[u] = np.array(e.ids, "<u4").tobytes()
+            self._ask(missing[i : i + 10_000])
+
+    def _ask(self, missing: list[str]) -> None:
+        """Has the tokenizer encode new units."""
+        if self.word_end is not None:
+            words = [u for u in missing if u.isalpha()]
+            if words and self._ask_words(words):
+                missing = [u for u in missing if not u.isalpha()]
+        for u, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
+            self.new[u] = np.array(e.ids, "<u4").tobytes()
+
+    def _ask_words(self, words: list[str]) -> bool:
+        """Encodes units of letters as one text. Each is one word at least, so as many words as units are those units."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.word_end[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return False
+        data, first = ids.tobytes(), 0
+        for u, end in zip(words, (4 * ends).tolist()):
+            self.new[u] = data[first:end]
+            first = end
+        return True
 
     def encode(self, text: str | None) -> bytes:
         if not text:

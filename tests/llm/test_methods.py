@@ -261,6 +261,40 @@ def test_a_worker_keeps_the_cache_of_its_last_operator_only():
     assert list(common._KEPT.values()) == ["scorer"]
 
 
+def test_units_of_letters_are_encoded_as_one_text(monkeypatch):
+    e = token_ids.Encoder(token_ids.vocabulary_path())
+    asked, real = [], e.tokenizer
+
+    class Spy:
+        def encode_batch_fast(self, texts, **more):
+            asked.append(len(texts))
+            return real.encode_batch_fast(texts, **more)
+
+    e.tokenizer = Spy()
+    odd = ["plain zqxv words Straße ªº µΩ", "İstanbul ǅ dz e\u0301te\u0301 中文 字", "don't o'clock x1y2 ... ' é́", "a<|endoftext|>b wört"]
+    for text in [*odd, " ".join(odd)]:
+        assert e.encode(text) == np.array(real.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    asked.clear()
+    e.encode("seven words that were never asked before")
+    assert asked[0] == 1 and sum(asked) == 1
+
+
+def test_reading_frames_drops_the_encoder(tmp_path):
+    import zstandard
+    from pyarrow import fs
+    from sparkrec.llm import token_files
+
+    token_ids.encoder(token_ids.vocabulary_path())
+    data = np.array([5, 2], "<u4").tobytes()
+    import xxhash
+
+    w = token_files.FrameWriter(fs.LocalFileSystem(), f"{tmp_path}/f")
+    w.add(3, zstandard.ZstdCompressor().compress(data), len(data), xxhash.xxh64_intdigest(data) & 0xFFFFFFFF)
+    w.close()
+    assert list(token_files.read_frames(fs.LocalFileSystem(), f"{tmp_path}/f")) == [(3, 0, data)]
+    assert ("encoder", token_ids.vocabulary_path()) not in common._KEPT
+
+
 # -------------------------------------------------------------- fingerprints
 
 
